@@ -25,15 +25,10 @@ def value_or(body: Column, path: str, default: Column, keep_null: bool = False)
     return F.when(F.coalesce(explicit, F.lit(False)), F.lit(None)).otherwise(found)
 
 
-def is_array(body: Column) -> Column:
-    """True for a well-formed JSON array, False for anything else."""
-    return F.json_array_length(body).isNotNull()
-
-
-def is_empty_listing(body: Column) -> Column:
-    """An empty array, an empty object or a JSON null: the answer that ends paging."""
-    empty_array = F.coalesce(F.json_array_length(body), F.lit(-1)) == 0
-    return F.coalesce(empty_array | body.rlike(r"^\s*(null|\{\s*\})\s*$"), F.lit(False))
+def listing_size(body: Column) -> Column:
+    """Elements of a JSON array; 0 also for an empty object or JSON null; NULL for all else."""
+    empty = F.when(body.rlike(r"^\s*(null|\{\s*\})\s*$"), 0)
+    return F.coalesce(F.json_array_length(body), empty)
 
 
 def nested_text_schema(paths: list[str]) -> T.StructType:

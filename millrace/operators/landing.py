@@ -11,7 +11,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.json_text import is_array, is_empty_listing, nested_text_schema
+from millrace.functions.json_text import listing_size, nested_text_schema
 
 
 def land_paged_array(pages: DataFrame, entry: str, body: str = "body") -> DataFrame:
@@ -52,7 +52,8 @@ def parse_document(
     paths = [p for p, _ in fields.values()] + ([key_path] if key_path else [])
     shape = nested_text_schema(paths or ["_none"]).add("_corrupt", "string")
     document = F.from_json(body, shape, {"columnNameOfCorruptRecord": "_corrupt"})
-    parsed = responses.withColumn("_doc", document)
+    # A generated column: a filter on it is not pushed below, where it would parse once more.
+    parsed = responses.select("*", F.explode_outer(F.array(document)).alias("_doc"))
     found = F.col(f"_doc.{key_path}") if key_path else F.lit(None)
     columns = {name: F.col(f"_doc.{p}").try_cast(t) for name, (p, t) in fields.items()}
     columns[key] = F.coalesce(found, F.col(requested))
@@ -83,8 +84,8 @@ def well_formed(parsed: DataFrame) -> DataFrame:
 
 def check_arrays(responses: DataFrame, body: str = "body") -> DataFrame:
     """Add `_malformed` (no array at all) and `_empty` (the answer that ends paging)."""
-    empty = is_empty_listing(F.col(body))
-    return responses.withColumns({"_malformed": ~is_array(F.col(body)) & ~empty, "_empty": empty})
+    size = listing_size(F.col(body))
+    return responses.withColumns({"_malformed": size.isNull(), "_empty": size.eqNullSafe(0)})
 
 
 def has_text(body: Column) -> Column:

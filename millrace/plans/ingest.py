@@ -29,7 +29,7 @@ from millrace.operators.responses import with_action
 from millrace.plans import datasets
 from millrace.plans.datasets import LISTING, Dataset
 from millrace.session import stage
-from millrace.sources.tables import append, ensure_table, merge_into
+from millrace.sources.tables import append, ensure_table, merge_into, scan
 
 
 @dataclass(frozen=True)
@@ -85,7 +85,7 @@ def plan_requests(spark: SparkSession, dataset: Dataset, run: Run) -> DataFrame:
 
 
 def _keys(spark: SparkSession, dataset: Dataset, run: Run) -> DataFrame:
-    listed = spark.table(run.table(dataset.keys_from))
+    listed = scan(spark, run.table(dataset.keys_from))
     where = None
     if dataset.keys_scoped:
         where = (F.col("_region") == run.region) & (F.col("_tier") == run.tier)
@@ -112,17 +112,18 @@ def ingest(spark: SparkSession, dataset: Dataset, log: DataFrame, run: Run) -> d
         )
     ensure_table(spark, run.table(dataset.name), dataset.columns)
 
-    parsed = dataset.parse(log)
-    facts = _stage_facts(parsed, dataset)
+    facts = _stage_facts(dataset.parse(log), dataset)
     counters = _counters(facts, dataset)
-    usable = "action = 'parse' AND NOT _malformed"
-    answers, facts = parsed.where(usable).drop("_malformed"), facts.where(usable)
+    facts = facts.where("action = 'parse' AND NOT _malformed")
+    answers = log.where("action = 'parse'")
     if dataset.keys_from is None:
         answers = before_first_empty(answers, list(LISTING), "page", facts.where("_empty"))
     else:
         keys = _keys(spark, dataset, run).withColumnRenamed(dataset.key, "key")
         answers = keep_listed(answers, keys, ["key"], batch_keys=facts)
-    rows = dataset.explode(answers) if dataset.explode else answers
+    rows = dataset.parse(answers).where("NOT _malformed")
+    if dataset.explode:
+        rows = dataset.explode(rows)
     counters["new_rows"] = merge_into(
         _with_audit(dataset, rows.withColumnsRenamed({"body": "raw_json"}), run),
         run.table(dataset.name),
@@ -173,12 +174,17 @@ def _append_run_log(spark, dataset: Dataset, run: Run, started, counters: dict[s
     failed = counters["failures"] + counters["rejected"]
     done = counters["requests_made"] - counters["rejected"]
     status = "SUCCESS" if not failed else "PARTIAL" if done else "FAILED"
-    row = (
-        run.batch.batch_id, dataset.name, started, utc_now(), counters["requests_made"],
-        counters["count_429"], counters["new_rows"], counters["rejected"], status,
-    )
+    row = {
+        "batch_id": run.batch.batch_id,
+        "dataset": dataset.name,
+        "run_start": started,
+        "run_end": utc_now(),
+        "status": status,
+        **{c: counters[c] for c in ("requests_made", "count_429", "new_rows", "rejected")},
+    }
     ensure_table(spark, run.table("ingestion_log"), schemas.INGESTION_LOG)
-    append(spark.createDataFrame([row], schemas.INGESTION_LOG), run.table("ingestion_log"))
+    entry = spark.range(0, 1, 1, 1).select(*[F.lit(v).alias(c) for c, v in row.items()])
+    append(entry, run.table("ingestion_log"))
 
 
 def ingest_all(spark: SparkSession, log: DataFrame, run: Run) -> dict[str, dict[str, int]]:

@@ -13,6 +13,12 @@ def ensure_schema(spark: SparkSession, name: str, location: str | None = None) -
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS {name}{where}")
 
 
+def scan(spark: SparkSession, table: str) -> DataFrame:
+    """The table as it is now, with what other sessions have written since it was last read."""
+    spark.catalog.refreshTable(table)
+    return spark.table(table)
+
+
 def ensure_table(
     spark: SparkSession,
     name: str,
@@ -22,14 +28,15 @@ def ensure_table(
 ) -> DataFrame:
     """Create the table unless it exists and return its scan.
 
-    Buckets on the merge key let pending-key and merge joins read the table without a shuffle.
+    Buckets on the merge key let pending-key and merge joins read the table without a shuffle. Write
+    to such a table, or to a partitioned one, with `rebalance_by`.
     """
     parts = f" PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
     buckets = ""
     if bucket_by:
         buckets = f" CLUSTERED BY ({', '.join(bucket_by[0])}) INTO {bucket_by[1]} BUCKETS"
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet{parts}{buckets}")
-    return spark.table(name)
+    return scan(spark, name)
 
 
 def append(rows: DataFrame, table: str) -> None:
@@ -45,17 +52,23 @@ def merge_into(
     dedupe_by: list[str] | None = None,
     reject_null_keys: bool = False,
     batch_keys: DataFrame | None = None,
+    rebalance_by: list[str] | None = None,
 ) -> int:
     """Insert the source rows whose key the table lacks; return how many were written.
 
+    Rows are written by the tasks that read them, without a shuffle. `rebalance_by` shuffles them
+    first, so that a bucket or partition is not spread over a file of every task; AQE sets the file
+    sizes and splits hot values.
+
     The count is taken from the write itself. Parquet tables have no transactions: let one writer
     at a time merge into a table. A run that died may be repeated, as landed keys are skipped.
     """
-    spark = source.sparkSession
-    target = spark.table(table)
+    target = scan(source.sparkSession, table)
     merge = insert_only_merge(source, target, on, dedupe_by, reject_null_keys, batch_keys)
     inserts = merge.inserts
     written = Observation()
+    if rebalance_by:
+        inserts = inserts.hint("rebalance", *rebalance_by)
     counted = inserts.select(*_as_in(target, inserts)).observe(
         written, F.count(F.lit(1)).alias("rows")
     )
