@@ -41,9 +41,10 @@ def insert_only_merge(
     """
     if reject_null_keys:
         source = source.where(keyed(on))
-    if dedupe_by:
-        source = first_per_key(source, on, dedupe_by)
-    return Merge(target, drop_known(source, target, on, batch_keys))
+    inserts = drop_known(source, target, on, batch_keys)
+    if dedupe_by:  # of the new keys only, so that known rows are not shuffled
+        inserts = first_per_key(inserts, on, dedupe_by)
+    return Merge(target, inserts)
 
 
 def drop_known(

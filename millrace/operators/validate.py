@@ -17,9 +17,14 @@ def unknown_keys(rows: DataFrame, known: DataFrame, on: str) -> DataFrame:
     return pending_keys(rows.select(F.upper(on).alias(on)), known.select(F.upper(on).alias(on)), on)
 
 
+MOST_LISTED = 1000
+
+
 def known_text(known: DataFrame, on: str) -> DataFrame:
-    """The known keys as one sorted line for a message. For lists of codes, not for data keys."""
+    """The known keys as one sorted line for a message; an error if they are too many for one."""
     keys = distinct_keys(known.select(F.upper(on).alias(on)), on)
+    if keys.limit(MOST_LISTED + 1).count() > MOST_LISTED:
+        raise ValueError(f"more than {MOST_LISTED} known values of {on}: too many to list")
     return keys.agg(F.array_join(F.sort_array(F.collect_list(on)), ", ").alias("known"))
 
 

@@ -99,13 +99,13 @@ ORACLES = {
                CAST(0 AS BIGINT) AS re_run
         FROM events
     """,
-    "land_array_pages": """
+    "land_paged_array": """
         SELECT event_id // 100 AS page, event_id, user_id, event_type, value, props,
                row_number() OVER (PARTITION BY event_id // 100 ORDER BY event_id) - 1 AS _pos
         FROM events
     """,
-    "land_id_lists": "SELECT user_id, CAST(event_id AS VARCHAR) AS id FROM events",
-    "land_documents": """
+    "land_id_array": "SELECT user_id, CAST(event_id AS VARCHAR) AS id FROM events",
+    "land_document": """
         SELECT event_id,
                CASE WHEN event_type = 'error' THEN 'req_' || event_id
                     ELSE CAST(event_id AS VARCHAR) END AS doc_key,
@@ -113,7 +113,7 @@ ORACLES = {
                CASE WHEN event_type <> 'signup' THEN epoch_us(ts) // 1000 END AS created
         FROM events
     """,
-    "land_opaque_documents": """
+    "land_opaque_document": """
         SELECT 'doc_' || doc_id AS doc_key, CAST(length(text) AS INTEGER) AS chars,
                md5(text) AS digest
         FROM documents WHERE regexp_matches(text, '\\S')
@@ -193,7 +193,7 @@ ORACLES = {
             BETWEEN 11 AND 30
     """,
     "response_actions": f"SELECT event_id, status, action, wait_s FROM ({_ACTIONS})",
-    "rate_audit_users": """
+    "rate_audit": """
         SELECT *, in_3600s > 1 AS over_3600s, in_86400s > 5 AS over_86400s FROM (
             SELECT event_id, user_id, ts,
                    count(*) OVER (PARTITION BY user_id ORDER BY ts

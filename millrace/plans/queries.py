@@ -16,20 +16,12 @@ from millrace.functions.routing import (
     region_of,
 )
 from millrace.functions.urls import URL_FORMATS, fill
+from millrace.operators import landing, rates
 from millrace.operators.audit import Batch, with_audit
-from millrace.operators.landing import (
-    check_arrays,
-    land_document,
-    land_id_array,
-    land_opaque_document,
-    land_paged_array,
-    parse_document,
-)
 from millrace.operators.latest import latest_per_key
 from millrace.operators.merge import insert_only_merge
 from millrace.operators.paging import before_first_empty
 from millrace.operators.pending import distinct_keys, pending_keys
-from millrace.operators.rates import rate_audit
 from millrace.operators.responses import with_action
 from millrace.operators.runlog import batch_counters
 from millrace.operators.validate import known_text, missing_keys, unknown_keys
@@ -151,33 +143,33 @@ def merge_metrics(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query
-def land_array_pages(spark: SparkSession, sf: str) -> DataFrame:
+def land_paged_array(spark: SparkSession, sf: str) -> DataFrame:
     pages = samples.event_pages(read_table(spark, sf, "events"))
     entry = "event_id BIGINT, user_id BIGINT, event_type STRING, value DOUBLE"
-    rows = land_paged_array(pages, entry)
+    rows = landing.land_paged_array(pages, entry)
     # props is no field of the entry; it survives in the element's text
     return rows.withColumn("props", value_at(F.col("_raw_json"), "props")).drop("_raw_json")
 
 
 @query
-def land_id_lists(spark: SparkSession, sf: str) -> DataFrame:
-    return land_id_array(samples.event_id_lists(read_table(spark, sf, "events")), "id")
+def land_id_array(spark: SparkSession, sf: str) -> DataFrame:
+    return landing.land_id_array(samples.event_id_lists(read_table(spark, sf, "events")), "id")
 
 
 @query
-def land_documents(spark: SparkSession, sf: str) -> DataFrame:
+def land_document(spark: SparkSession, sf: str) -> DataFrame:
     documents = samples.event_documents(read_table(spark, sf, "events"))
     fields = {"kind": ("info.type", "string"), "created": ("info.created", "bigint")}
-    rows = land_document(documents, "doc_key", "requested", "metadata.id", fields)
+    rows = landing.land_document(documents, "doc_key", "requested", "metadata.id", fields)
     return rows.drop("requested", "body")
 
 
 @query
-def land_opaque_documents(spark: SparkSession, sf: str) -> DataFrame:
+def land_opaque_document(spark: SparkSession, sf: str) -> DataFrame:
     documents = read_table(spark, sf, "documents").select(
         F.concat(F.lit("doc_"), F.col("doc_id").cast("string")).alias("key"), "text"
     )
-    rows = land_opaque_document(documents, "doc_key", "key", body="text")
+    rows = landing.land_opaque_document(documents, "doc_key", "key", body="text")
     return rows.select("doc_key", F.length("text").alias("chars"), F.md5("text").alias("digest"))
 
 
@@ -192,13 +184,13 @@ def _damaged_bodies(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def reject_documents(spark: SparkSession, sf: str) -> DataFrame:
     fields = {"k": ("k", "bigint")}
-    rows = parse_document(_damaged_bodies(spark, sf), "doc_key", "event_id", fields=fields)
+    rows = landing.parse_document(_damaged_bodies(spark, sf), "doc_key", "event_id", fields=fields)
     return rows.where("_malformed").select("event_id", "body")
 
 
 @query
 def reject_arrays(spark: SparkSession, sf: str) -> DataFrame:
-    checked = check_arrays(_damaged_bodies(spark, sf))
+    checked = landing.check_arrays(_damaged_bodies(spark, sf))
     return checked.where("_malformed").select("event_id", "body")
 
 
@@ -334,9 +326,9 @@ def response_actions(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query
-def rate_audit_users(spark: SparkSession, sf: str) -> DataFrame:
+def rate_audit(spark: SparkSession, sf: str) -> DataFrame:
     events = read_table(spark, sf, "events").select("event_id", "user_id", "ts")
-    return rate_audit(events, ["user_id"], "ts", {3600: 1, 86400: 5})
+    return rates.rate_audit(events, ["user_id"], "ts", {3600: 1, 86400: 5})
 
 
 @query

@@ -48,15 +48,25 @@ def stage(df: DataFrame) -> DataFrame:
     Used for narrow results (keys, page stops) that later plans join to wide rows. Reading a file
     gives Spark the real size, so it broadcasts the staged side only below
     spark.sql.autoBroadcastJoinThreshold and otherwise sorts and merges, with AQE splitting hot
-    partitions. The files survive lost executors; they lie under one folder per application.
+    partitions. The files survive lost executors; they lie under one folder per application, which
+    `clear_stage` deletes.
     """
     spark = df.sparkSession
-    app = spark.sparkContext.applicationId
-    path = f"{shared_dir(spark)}/millrace-stage/{app}/{uuid.uuid4().hex}"
+    path = f"{_stage_dir(spark)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def clear_stage(spark: SparkSession) -> None:
+    """Delete what this application has staged. Frames that were built on it cannot be read again."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_stage_dir(spark))
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def _stage_dir(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/millrace-stage/{spark.sparkContext.applicationId}"
+
+
 @contextmanager
 def scratch_schema(spark: SparkSession) -> Iterator[str]:
     """A schema of its own in the shared folder, dropped with its tables at the end."""

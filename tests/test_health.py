@@ -1,8 +1,11 @@
+from pathlib import Path
+from urllib.parse import unquote, urlparse
+
 import pytest
 from conftest import rows
 
 from millrace.plans import health
-from millrace.session import scratch_schema, shared_dir, stage
+from millrace.session import clear_stage, scratch_schema, shared_dir, stage
 
 
 def test_declare_and_check_layers(spark):
@@ -43,6 +46,14 @@ def test_staged_rows_lie_in_the_shared_folder(spark):
     assert empty.columns == ["id"] and empty.count() == 0
 
 
+def test_staged_files_can_be_deleted(spark):
+    path = Path(unquote(urlparse(stage(spark.range(5)).inputFiles()[0]).path))
+    assert path.exists()
+    clear_stage(spark)
+    assert not path.exists()
+    assert stage(spark.range(2)).count() == 2
+
+
 def test_scratch_schema_is_dropped(spark):
     with scratch_schema(spark) as name:
         spark.range(3).write.saveAsTable(f"{name}.t")

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions import routing
 from millrace.functions.urls import URL_FORMATS, fill
-from millrace.operators.validate import UnknownKeys, missing_keys, require_known
+from millrace.operators.validate import UnknownKeys, known_text, missing_keys, require_known
 from millrace.plans.datasets import DATASETS
 from millrace.plans.ingest import Run, source_url
 
@@ -84,6 +84,12 @@ def test_require_known(spark):
         require_known(spark.createDataFrame([("buy",), ("click",)], "t string"), known, "t")
 
 
+def test_data_keys_are_not_listed_in_a_message(spark):
+    known = spark.range(2000).select(F.col("id").cast("string").alias("t"))
+    with pytest.raises(ValueError, match="too many to list"):
+        known_text(known, "t")
+
+
 def test_missing_keys(spark):
     need = spark.createDataFrame([("a",), ("b",), ("b",)], "k string")
     have = spark.createDataFrame([("a",), ("c",)], "k string")
