@@ -54,25 +54,40 @@ def drop_known(
 
     The batch's distinct keys are staged, which gives Spark their real size: a small batch is
     broadcast to the scan of the known keys, which then are not shuffled. What is staged next is the
-    batch's already known keys: few in an incremental run, so the wide rows meet them in a broadcast
-    anti join and are never shuffled. Past the broadcast threshold that join is a sort-merge over
-    two plain exchanges, the form in which AQE splits a hot key's partition.
+    batch's already known keys.
     """
     if batch_keys is None:
         batch_keys = stage(distinct_keys(rows, on, where=keyed(on)))
     batch = distinct_keys(batch_keys, on)
     seen = stage(distinct_keys(known, on).join(batch, on, "left_semi"))
-    return rows.join(seen, on, "left_anti")
+    return _without(rows, seen, batch, on)
 
 
 def keep_listed(
     rows: DataFrame, listed: DataFrame, on: list[str], batch_keys: DataFrame | None = None
 ) -> DataFrame:
-    """Rows whose key is in `listed`: the unlisted keys, normally few, are what is joined away."""
+    """Rows whose key is in `listed`, settled in the same way."""
     keyed_rows = rows.where(keyed(on))
     batch = distinct_keys(keyed_rows if batch_keys is None else batch_keys, on)
     stray = stage(batch.join(distinct_keys(listed, on), on, "left_anti"))
-    return keyed_rows.join(stray, on, "left_anti")
+    return _without(keyed_rows, stray, batch, on)
+
+
+def _without(rows: DataFrame, drop: DataFrame, batch: DataFrame, on: list[str]) -> DataFrame:
+    """Rows whose key is not in `drop`, a staged part of the batch's keys.
+
+    Wide rows are joined to the shorter of the two key lists, those to drop (few in a new batch) or
+    those to keep (few when a batch is repeated), so that Spark can broadcast it by its size and the
+    rows are not shuffled. Where even that list is long, the join is a sort-merge over two plain
+    exchanges, the form in which AQE splits a hot key's partition.
+    """
+    dropped = drop.count()
+    if dropped == 0:
+        return rows
+    if 2 * dropped <= batch.count():
+        return rows.join(drop, on, "left_anti")
+    keep = stage(batch.join(drop, on, "left_anti")).withColumn("_keep", F.lit(True))
+    return rows.join(keep, on, "left").where(F.col("_keep") | ~keyed(on)).drop("_keep")
 
 
 def first_per_key(rows: DataFrame, on: list[str], order: list[str]) -> DataFrame:

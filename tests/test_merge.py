@@ -64,6 +64,36 @@ def test_few_known_keys_are_broadcast_and_wide_rows_not_shuffled(spark, executed
     assert df.count() == 60_000 - 33
 
 
+def test_a_repeated_batch_is_joined_to_its_few_new_keys(spark, conf, executed):
+    conf(spark__sql__autoBroadcastJoinThreshold="20KB")
+    rows_, known = _hot(spark), spark.range(0, 59_000).select(F.col("id").alias("k"))
+    df = drop_known(rows_, known, ["k"])
+    plan = executed(df)
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+    new = sum(1 for i in range(59_000, 60_000) if i % 3 == 1)
+    assert df.columns == rows_.columns
+    assert df.where("k IS NULL").count() == 20_000
+    assert df.where("k IS NOT NULL").count() == new
+
+
+def test_known_keys_are_not_joined_when_there_are_none(spark, executed):
+    df = drop_known(_hot(spark), spark.range(0).select(F.col("id").alias("k")), ["k"])
+    assert "Join" not in executed(df)
+    assert df.count() == 60_000
+
+
+def test_either_list_gives_the_same_rows(spark):
+    keys = [1, 1, 2, 3, 4, None, None]
+    rows_ = spark.createDataFrame([(k, i) for i, k in enumerate(keys)], "k int, i int")
+    for known in ([1], [1, 2, 3], [1, 2, 3, 4], [9], [None]):
+        df = drop_known(rows_, spark.createDataFrame([(k,) for k in known], "k int"), ["k"])
+        assert rows(df) == sorted(
+            [(k, i) for i, k in enumerate(keys) if k is None or k not in known], key=repr
+        )
+        listed = keep_listed(rows_, spark.createDataFrame([(k,) for k in known], "k int"), ["k"])
+        assert rows(listed) == [(k, i) for i, k in enumerate(keys) if k is not None and k in known]
+
+
 def test_hot_keys_are_split_when_the_known_keys_are_too_many_to_broadcast(spark, conf, executed):
     conf(
         spark__sql__autoBroadcastJoinThreshold="-1",
@@ -113,7 +143,6 @@ def test_a_column_that_is_always_null_is_legal(spark, schema):
 def test_a_bucketed_table_is_joined_without_a_shuffle_of_it(spark, schema, conf):
     from millrace.operators.pending import pending_keys
 
-    conf(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__enabled="false")
     table = f"{schema}.t"
     ensure_table(spark, table, DDL, bucket_by=(["k"], 4))
     source = spark.range(0, 1000, 1, 4).selectExpr("cast(id as string) AS k", "1 AS page", "1 AS points")
@@ -121,6 +150,7 @@ def test_a_bucketed_table_is_joined_without_a_shuffle_of_it(spark, schema, conf)
     assert merge_into(source, table, ["k"], rebalance_by=["k"]) == 0
     files = {r[0] for r in spark.table(table).select("_metadata.file_path").distinct().collect()}
     assert len(files) == 4
+    conf(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__enabled="false")
     pending = pending_keys(source.selectExpr("concat(k, '0') AS k"), spark.table(table), "k")
     plan = pending._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
