@@ -84,7 +84,10 @@ def _without(rows: DataFrame, drop: DataFrame, batch: DataFrame, on: list[str])
     dropped = drop.count()
     if dropped == 0:
         return rows
-    if 2 * dropped <= batch.count():
+    total = batch.count()
+    if dropped == total:
+        return rows.where(~keyed(on))
+    if 2 * dropped <= total:
         return rows.join(drop, on, "left_anti")
     keep = stage(batch.join(drop, on, "left_anti")).withColumn("_keep", F.lit(True))
     return rows.join(keep, on, "left").where(F.col("_keep") | ~keyed(on)).drop("_keep")

@@ -113,24 +113,29 @@ def ingest(spark: SparkSession, dataset: Dataset, log: DataFrame, run: Run) -> d
     ensure_table(spark, run.table(dataset.name), dataset.columns)
 
     facts = _stage_facts(dataset.parse(log), dataset)
-    counters = _counters(facts, dataset)
+    counters = _counters(facts, dataset) | {"new_rows": 0}
     facts = facts.where("action = 'parse' AND NOT _malformed")
     answers = log.where("action = 'parse'")
     if dataset.keys_from is None:
         answers = before_first_empty(answers, list(LISTING), "page", facts.where("_empty"))
+        to_land = counters["requests_made"]
     else:
-        keys = _keys(spark, dataset, run).withColumnRenamed(dataset.key, "key")
-        answers = keep_listed(answers, keys, ["key"], batch_keys=facts)
-    rows = dataset.parse(answers).where("NOT _malformed")
-    if dataset.explode:
-        rows = dataset.explode(rows)
-    counters["new_rows"] = merge_into(
-        _with_audit(dataset, rows.withColumnsRenamed({"body": "raw_json"}), run),
-        run.table(dataset.name),
-        list(dataset.merge_on),
-        reject_null_keys=run.reject_null_keys,
-        batch_keys=None if dataset.explode else facts.where(keyed([dataset.key])),
-    )
+        keys = stage(_keys(spark, dataset, run).withColumnRenamed(dataset.key, "key"))
+        asked = facts.join(keys, "key", "left_semi")
+        to_land = asked.count()
+        if 0 < to_land < counters["requests_made"] - counters["rejected"]:
+            answers = keep_listed(answers, keys, ["key"], batch_keys=facts)
+    if to_land:
+        rows = dataset.parse(answers).where("NOT _malformed")
+        if dataset.explode:
+            rows = dataset.explode(rows)
+        counters["new_rows"] = merge_into(
+            _with_audit(dataset, rows.withColumnsRenamed({"body": "raw_json"}), run),
+            run.table(dataset.name),
+            list(dataset.merge_on),
+            reject_null_keys=run.reject_null_keys,
+            batch_keys=None if dataset.explode else asked.where(keyed([dataset.key])),
+        )
     _append_run_log(spark, dataset, run, started, counters)
     return counters
 
