@@ -29,7 +29,7 @@ from millrace.operators.responses import with_action
 from millrace.plans import datasets
 from millrace.plans.datasets import LISTING, Dataset
 from millrace.session import stage
-from millrace.sources.tables import append, ensure_table, merge_into, scan
+from millrace.sources.tables import ensure_table, merge_into, scan
 
 
 @dataclass(frozen=True)
@@ -187,9 +187,10 @@ def _append_run_log(spark, dataset: Dataset, run: Run, started, counters: dict[s
         "status": status,
         **{c: counters[c] for c in ("requests_made", "count_429", "new_rows", "rejected")},
     }
-    ensure_table(spark, run.table("ingestion_log"), schemas.INGESTION_LOG)
-    entry = spark.range(0, 1, 1, 1).select(*[F.lit(v).alias(c) for c, v in row.items()])
-    append(entry, run.table("ingestion_log"))
+    table = run.table("ingestion_log")
+    ensure_table(spark, table, schemas.INGESTION_LOG)
+    values = ", ".join(f":{name}" for name in row)
+    spark.sql(f"INSERT INTO {table} ({', '.join(row)}) VALUES ({values})", args=row)
 
 
 def ingest_all(spark: SparkSession, log: DataFrame, run: Run) -> dict[str, dict[str, int]]:

@@ -42,7 +42,7 @@ def ensure_table(
 def append(rows: DataFrame, table: str) -> None:
     """Append by column name, as the table orders and types them."""
     target = rows.sparkSession.table(table)
-    rows.select(*_as_in(target, rows)).write.insertInto(table)
+    rows.selectExpr(*_as_in(target)).write.insertInto(table)
 
 
 def merge_into(
@@ -69,12 +69,12 @@ def merge_into(
     written = Observation()
     if rebalance_by:
         inserts = inserts.hint("rebalance", *rebalance_by)
-    counted = inserts.select(*_as_in(target, inserts)).observe(
+    counted = inserts.selectExpr(*_as_in(target)).observe(
         written, F.count(F.lit(1)).alias("rows")
     )
     counted.write.insertInto(table)
     return written.get.get("rows") or 0
 
 
-def _as_in(target: DataFrame, rows: DataFrame) -> list:
-    return [F.col(f.name).cast(f.dataType).alias(f.name) for f in target.schema.fields]
+def _as_in(target: DataFrame) -> list[str]:
+    return [f"CAST(`{name}` AS {kind}) AS `{name}`" for name, kind in target.dtypes]

@@ -24,8 +24,3 @@ def test_query_equals_sql(spark, con, name):
     assert names == sql_names
     assert got == expected
 
-
-def test_entry(spark):
-    names, got = spark_result(registry.entry(spark))
-    assert names == ["dataset", "first_run", "second_run"]
-    assert len(got) == 6
