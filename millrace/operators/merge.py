@@ -56,9 +56,7 @@ def drop_known(
     broadcast to the scan of the known keys, which then are not shuffled. What is staged next is the
     batch's already known keys.
     """
-    if batch_keys is None:
-        batch_keys = stage(distinct_keys(rows, on, where=keyed(on)))
-    batch = distinct_keys(batch_keys, on)
+    batch = _batch(rows, on, batch_keys)
     seen = stage(distinct_keys(known, on).join(batch, on, "left_semi"))
     return _without(rows, seen, batch, on)
 
@@ -67,10 +65,16 @@ def keep_listed(
     rows: DataFrame, listed: DataFrame, on: list[str], batch_keys: DataFrame | None = None
 ) -> DataFrame:
     """Rows whose key is in `listed`, settled in the same way."""
-    keyed_rows = rows.where(keyed(on))
-    batch = distinct_keys(keyed_rows if batch_keys is None else batch_keys, on)
+    batch = _batch(rows, on, batch_keys)
     stray = stage(batch.join(distinct_keys(listed, on), on, "left_anti"))
-    return _without(keyed_rows, stray, batch, on)
+    return _without(rows.where(keyed(on)), stray, batch, on)
+
+
+def _batch(rows: DataFrame, on: list[str], batch_keys: DataFrame | None) -> DataFrame:
+    """Distinct keys of a batch, free of NULLs; staged unless they come from narrow rows."""
+    if batch_keys is not None:
+        return distinct_keys(batch_keys, on, where=keyed(on))
+    return stage(distinct_keys(rows, on, where=keyed(on)))
 
 
 def _without(rows: DataFrame, drop: DataFrame, batch: DataFrame, on: list[str]) -> DataFrame:

@@ -22,7 +22,7 @@ from millrace.functions.routing import (
 )
 from millrace.functions.urls import URL_FORMATS, fill
 from millrace.operators.audit import Batch, utc_now, with_audit
-from millrace.operators.merge import keep_listed, keyed
+from millrace.operators.merge import keep_listed
 from millrace.operators.paging import before_first_empty
 from millrace.operators.pending import distinct_keys, pending_keys
 from millrace.operators.responses import with_action
@@ -134,7 +134,7 @@ def ingest(spark: SparkSession, dataset: Dataset, log: DataFrame, run: Run) -> d
             run.table(dataset.name),
             list(dataset.merge_on),
             reject_null_keys=run.reject_null_keys,
-            batch_keys=None if dataset.explode else asked.where(keyed([dataset.key])),
+            batch_keys=None if dataset.explode else asked,
         )
     _append_run_log(spark, dataset, run, started, counters)
     return counters
