@@ -11,22 +11,25 @@ LAYERS = ("bronze", "silver", "gold")
 
 
 def declare_layers(spark: SparkSession, prefix: str = "", folder: str | None = None) -> None:
-    """Create the layer schemas where they are missing."""
+    """Create the layer schemas where they are missing. `prefix` may name a catalog: 'main.'."""
     for layer in LAYERS:
         ensure_schema(spark, prefix + layer, f"{folder}/{prefix}{layer}" if folder else None)
 
 
-def listed_schemas(spark: SparkSession) -> DataFrame:
-    return spark.sql("SHOW SCHEMAS").selectExpr("namespace AS name")
+def listed_schemas(spark: SparkSession, catalog: str | None = None) -> DataFrame:
+    of = f" IN {catalog}" if catalog else ""
+    return spark.sql(f"SHOW SCHEMAS{of}").selectExpr("namespace AS name")
 
 
-def missing_schemas(spark: SparkSession, required: list[str]) -> DataFrame:
+def missing_schemas(
+    spark: SparkSession, required: list[str], catalog: str | None = None
+) -> DataFrame:
     wanted = spark.createDataFrame([(name,) for name in required], "name string")
-    return missing_keys(wanted, listed_schemas(spark), "name")
+    return missing_keys(wanted, listed_schemas(spark, catalog), "name")
 
 
-def require_schemas(spark: SparkSession, required: list[str]) -> None:
-    missing = sorted(r[0] for r in missing_schemas(spark, required).collect())
+def require_schemas(spark: SparkSession, required: list[str], catalog: str | None = None) -> None:
+    missing = sorted(r[0] for r in missing_schemas(spark, required, catalog).collect())
     if missing:
         raise RuntimeError(f"schemas not found: {', '.join(missing)}")
 
@@ -54,7 +57,8 @@ def roundtrip(spark: SparkSession, table: str, rows: DataFrame | None = None) ->
     return count
 
 
-def health_check(spark: SparkSession, prefix: str = "") -> int:
+def health_check(spark: SparkSession, prefix: str = "", catalog: str | None = None) -> int:
     """Both checks. An error means that the workspace is not usable."""
-    require_schemas(spark, [prefix + layer for layer in LAYERS])
-    return roundtrip(spark, f"{prefix}bronze.smoke_test")
+    require_schemas(spark, [prefix + layer for layer in LAYERS], catalog)
+    place = f"{catalog}.{prefix}" if catalog else prefix
+    return roundtrip(spark, f"{place}bronze.smoke_test")

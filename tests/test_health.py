@@ -17,7 +17,7 @@ def test_declare_and_check_layers(spark):
         health.declare_layers(spark, prefix)
         assert rows(health.missing_schemas(spark, [prefix + "gold", "nowhere"])) == [("nowhere",)]
         assert health.health_check(spark, prefix) == 1
-        assert health.health_check(spark, prefix) == 1
+        assert health.health_check(spark, prefix, catalog="spark_catalog") == 1
     finally:
         for layer in health.LAYERS:
             spark.sql(f"DROP SCHEMA IF EXISTS {prefix}{layer} CASCADE")

@@ -3,6 +3,8 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from millrace.operators.merge import drop_known, first_per_key, insert_only_merge, keep_listed
+from millrace.operators.pending import distinct_keys
+from millrace.session import stage
 from millrace.sources.tables import append, ensure_table, merge_into
 
 DDL = "k string, page int, points int"
@@ -82,6 +84,16 @@ def test_known_keys_are_not_joined_when_there_are_none(spark, executed):
     assert df.count() == 60_000
 
 
+def test_a_small_batch_is_broadcast_to_the_known_keys(spark):
+    known = spark.read.parquet("/root/testdata/sf0.01/lineitem.parquet")
+    batch = stage(spark.range(50).select(F.col("id").alias("l_orderkey")))
+    seen = distinct_keys(known, "l_orderkey").join(batch, "l_orderkey", "left_semi")
+    plan = seen._jdf.queryExecution().executedPlan().toString()
+    # the known keys are cut by the join before their aggregate shuffles them
+    assert plan.index("Exchange hashpartitioning") < plan.index("BroadcastHashJoin")
+    assert "ReadSchema: struct<l_orderkey:bigint>" in plan
+
+
 def test_either_list_gives_the_same_rows(spark):
     keys = [1, 1, 2, 3, 4, None, None]
     rows_ = spark.createDataFrame([(k, i) for i, k in enumerate(keys)], "k int, i int")
