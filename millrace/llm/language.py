@@ -125,7 +125,7 @@ def predict(
 ) -> DataFrame:
     """`docs` with the predicted language and the cosine, not less than 0, as its score."""
     names = sorted(prototypes)
-    matrix = np.array([prototypes[n] for n in names], np.float64).reshape(len(names), -1)
+    matrix = np.array([prototypes[n] for n in names], np.float64).reshape(len(names), DIM)
     matrix /= np.maximum(np.linalg.norm(matrix, axis=1, keepdims=True), 1e-12)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -49,7 +49,8 @@ def parse(messages: DataFrame) -> DataFrame:
     is_object = F.col("text").rlike(r"^\s*\{")
     said = F.when(is_object, F.from_json("text", MESSAGE))
     rows = messages.select("conv_id", "turn", "role", "text", F.explode(F.array(said)).alias("said"))
-    speaks = F.coalesce("said.tool_calls", "said.tools").isNotNull() | F.col("said.tool_call_id").isNotNull()
+    fields = [F.col(f"said.{c}").isNotNull() for c in ("tool_calls", "tools", "tool_call_id")]
+    speaks = fields[0] | fields[1] | fields[2]
     return rows.withColumn("said", F.when(speaks, F.col("said")))
 
 

@@ -214,7 +214,7 @@ def choose_landmarks(counts: list[tuple[str, int, int]], n_toxic: int, n_clean:
             total[run][1] += c
     ranked = []
     for run, (t, c) in total.items():
-        odds = np.log((t + 0.5) / n_toxic) - np.log((c + 0.5) / n_clean)
+        odds = np.log((t + 0.5) / n_toxic) - np.log((c + 2) / n_clean)
         if odds > LEAST_ODDS:
             ranked.append((-t * odds * len(run), run))
     chosen: list[str] = []

@@ -1,0 +1,86 @@
+import zlib
+from itertools import combinations
+
+import numpy as np
+
+from millrace.llm.language import Letters, keep_known, learn, predict
+from millrace.llm.queries import QUERIES
+from millrace.llm.toxicity import DECAY, GAP, ORDER, Landmarks, Machine, score, units_of, words_of
+
+FOLDER = "/root/testdata/sf0.01"
+
+
+def test_language_of_held_out_documents(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    got = QUERIES["op9_language_id"](spark, FOLDER).join(docs, "doc_id").collect()
+    assert len(got) == docs.count()
+    held = [r for r in got if r.held_out]
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) for r in got)
+    assert np.mean([r.lang_pred == r.lang for r in held]) > 0.95
+    assert all(0 <= r.score <= 1 for r in got)
+
+
+def test_bundles_are_sums_of_bound_letters():
+    letters = Letters(dim=64)
+    grams = letters.grams(letters.codes("Hi, you"))
+    by_hand = np.zeros(64)
+    spelled = " hi you "
+    for a, b, c in zip(spelled, spelled[1:], spelled[2:]):
+        va, vb, vc = (letters._vector(ord(x)) for x in (a, b, c))
+        by_hand += np.roll(va, 2) * np.roll(vb, 1) * vc
+    assert (letters.bundles([grams, grams[:0]]) == [by_hand, np.zeros(64)]).all()
+
+
+def test_languages_on_edges(spark, edges, empty):
+    prototypes = learn(edges)
+    assert set(prototypes) == {"en"}
+    got = predict(edges, prototypes)
+    assert got.columns == [*edges.columns, "lang_pred", "score"]
+    unknown = {r.text for r in got.where("lang_pred = 'und'").collect()}
+    assert unknown == {None, "", " \t\n\r\n "}
+    kept = keep_known(edges, prototypes, 0.0)
+    assert kept.columns == edges.columns and kept.count() == 7
+    assert {r.lang_pred for r in predict(edges, learn(empty)).collect()} == {"und"}
+
+
+def by_hand(unit, landmark):
+    """The kernel, by all pairs of subsequences."""
+
+    def paths(s):
+        for path in combinations(range(len(s)), ORDER):
+            if all(b - a <= GAP for a, b in zip(path, path[1:])):
+                yield "".join(s[i] for i in path), DECAY ** (path[-1] - path[0] - ORDER + 1)
+
+    listed = list(paths(landmark))
+    return sum(x * y for a, x in paths(unit) for b, y in listed if a == b)
+
+
+def test_kernel_values_by_hand():
+    strings = ["idiot", "moron", "aaaaa", "worthless"]
+    units = ["idiot", "idxiot", "xidiotx", "idot", "morn", "aaaaaaa", "worthlesss", "abc", "", "worhtless", "éidiot"]
+    got = Landmarks(strings).values(units)
+    for i, u in enumerate(units):
+        for j, s in enumerate(strings):
+            assert np.isclose(got[i, j], by_hand(u, s) / by_hand(s, s)), (u, s)
+    assert got[1, 0] > 0 and got[3, 0] > 0
+
+
+def test_words_and_units():
+    assert units_of("id-iot!!") == ["idiot"]
+    assert units_of("1d10t") == ["dlot"] and units_of("m0r0n") == ["moron"]
+    assert "idiot" in words_of("you i d i o t now")
+    long = "x" * 100
+    assert all(len(u) <= 24 for u in units_of(long)) and units_of("abc") == []
+
+
+def test_toxicity_of_held_out_documents(spark):
+    labels = spark.read.parquet(f"{FOLDER}/labels.parquet")
+    got = QUERIES["op6_toxicity"](spark, FOLDER).join(labels, "doc_id").collect()
+    held = [r for r in got if r.held_out]
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) for r in got)
+    assert np.mean([r.predicted == r.toxic for r in held]) > 0.95
+    assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) for r in got)
+
+
+def test_no_machine_scores_nothing(edges):
+    assert {r.score for r in score(edges, Machine()).collect()} == {0.0}
