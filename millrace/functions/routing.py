@@ -29,11 +29,10 @@ PLATFORM_TO_REGION = {
 # Fixed value: what follows the platform or region in a host name.
 HOST_SUFFIX = ".api.riotgames.com"
 
-# The ranked queue, ids asked for per player (the source allows 100), job timeout.
+# The ranked queue, ids asked for per player (the source allows 100).
 RANKED_QUEUE = "RANKED_SOLO_5x5"
 RANKED_QUEUE_ID = 420
 DEFAULT_MATCH_COUNT = 20
-JOB_TIMEOUT_SECONDS = 14400
 
 
 class UnknownPlatform(ValueError):

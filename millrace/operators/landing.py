@@ -15,24 +15,55 @@ from millrace.functions.json_text import listing_size, nested_text_schema
 
 
 def land_paged_array(pages: DataFrame, entry: str, body: str = "body") -> DataFrame:
-    """One row per element of an array of objects, with the fields of the DDL string `entry`.
+    """One row per object of an array, with the fields of the DDL string `entry`.
 
     Missing fields are NULL and further fields are dropped, but `_raw_json` holds the whole element
-    and `_pos` its place in the array. The other columns of `pages` are kept.
+    and `_pos` its place in the array. The other columns of `pages` are kept. Elements that are no
+    object are left out; `parse_paged_array` has them.
+    """
+    parsed = parse_paged_array(pages, entry, body).where("_is_element AND NOT _bad_element")
+    return parsed.drop("_is_element", "_bad_element")
+
+
+def parse_paged_array(pages: DataFrame, entry: str, body: str = "body") -> DataFrame:
+    """All elements of `land_paged_array`, and one row for a page without any.
+
+    `_is_element` tells the two apart; `_bad_element` marks elements that are no object.
     """
     kept = [c for c in pages.columns if c != body]
-    elements = F.posexplode(F.from_json(body, "array<string>")).alias("_pos", "_raw_json")
+    elements = F.posexplode_outer(F.from_json(body, "array<string>")).alias("_pos", "_raw_json")
     return (
         pages.select(*kept, elements)
         .withColumn("_entry", F.from_json("_raw_json", entry))
-        .select(*kept, "_entry.*", "_raw_json", F.col("_pos").cast("bigint").alias("_pos"))
+        .select(
+            *kept,
+            "_entry.*",
+            "_raw_json",
+            F.col("_pos").cast("bigint").alias("_pos"),
+            F.col("_pos").isNotNull().alias("_is_element"),
+            ~is_object(F.col("_raw_json")).alias("_bad_element"),
+        )
     )
 
 
 def land_id_array(responses: DataFrame, name: str, body: str = "body") -> DataFrame:
-    """One row per id of an array of strings; an empty array yields none."""
+    """One row per id of an array of strings; an empty array yields none, and a null is no id."""
+    parsed = parse_id_array(responses, name, body)
+    return parsed.where("_is_element AND NOT _bad_element").drop("_is_element", "_bad_element", "_pos")
+
+
+def parse_id_array(responses: DataFrame, name: str, body: str = "body") -> DataFrame:
+    """All elements of `land_id_array`, and one row for a response without any; nulls are marked."""
     kept = [c for c in responses.columns if c != body]
-    return responses.select(*kept, F.explode(F.from_json(body, "array<string>")).alias(name))
+    ids = F.posexplode_outer(F.from_json(body, "array<string>")).alias("_pos", name)
+    return responses.select(*kept, ids).withColumns({
+        "_is_element": F.col("_pos").isNotNull(),
+        "_bad_element": F.col(name).isNull(),
+    })
+
+
+def is_object(element: Column) -> Column:
+    return F.coalesce(element.rlike(r"^\s*\{"), F.lit(False))
 
 
 def parse_document(

@@ -37,74 +37,59 @@ def insert_only_merge(
     As with MERGE, copies of a new key inside one source are all inserted, and a NULL key never
     matches, so it is inserted again by each run. `dedupe_by` keeps only the first source row per
     key in that order; `reject_null_keys` drops rows with a NULL in the key.
-    `batch_keys` may hold the keys of the source where they were staged before.
+    The result is one lazy plan. `batch_keys`, if given, holds the keys of a source with wide rows: the
+    new keys are then settled first, on narrow columns, and staged (see `keep_new`).
     """
     if reject_null_keys:
         source = source.where(keyed(on))
-    inserts = drop_known(source, target, on, batch_keys)
+    if batch_keys is None:
+        inserts = drop_known(source, target, on)
+    else:
+        inserts = keep_new(source, target, on, batch_keys)
     if dedupe_by:  # of the new keys only, so that known rows are not shuffled
         inserts = first_per_key(inserts, on, dedupe_by)
     return Merge(target, inserts)
 
 
-def drop_known(
-    rows: DataFrame, known: DataFrame, on: list[str], batch_keys: DataFrame | None = None
-) -> DataFrame:
-    """Rows whose key is not in `known`, settled on narrow key columns before wide rows move.
+def drop_known(rows: DataFrame, known: DataFrame, on: list[str]) -> DataFrame:
+    """Rows whose key is not in `known`, as one lazy anti join. A NULL in the key never matches.
 
-    The batch's distinct keys are staged, which gives Spark their real size: a small batch is
-    broadcast to the scan of the known keys, which then are not shuffled. What is staged next is the
-    batch's already known keys.
+    Copies of a known key collapse in the map tasks. The join also compares a hash of the key: it needs
+    an exchange of its own for that, and only between plain exchanges does AQE split a hot key.
     """
-    batch = _batch(rows, on, batch_keys)
-    seen = stage(distinct_keys(known, on).join(batch, on, "left_semi"))
-    return _without(rows, seen, batch, on)
+    match = F.xxhash64(*on).alias("_match")
+    listed = distinct_keys(known, on).select("*", match)
+    columns = rows.columns
+    return rows.select("*", match).join(listed, [*on, "_match"], "left_anti").select(*columns)
 
 
-def keep_listed(
-    rows: DataFrame, listed: DataFrame, on: list[str], batch_keys: DataFrame | None = None
-) -> DataFrame:
-    """Rows whose key is in `listed`, settled in the same way."""
-    batch = _batch(rows, on, batch_keys)
-    stray = stage(batch.join(distinct_keys(listed, on), on, "left_anti"))
-    return _without(rows.where(keyed(on)), stray, batch, on)
-
-
-def _batch(rows: DataFrame, on: list[str], batch_keys: DataFrame | None) -> DataFrame:
-    """Distinct keys of a batch, free of NULLs; staged unless they come from narrow rows."""
-    if batch_keys is not None:
-        return distinct_keys(batch_keys, on, where=keyed(on))
-    return stage(distinct_keys(rows, on, where=keyed(on)))
+def keep_new(rows: DataFrame, known: DataFrame, on: list[str], batch_keys: DataFrame) -> DataFrame:
+    """Rows whose key is in `batch_keys` and not in `known`, and rows with a NULL in the key.
 
+    The new keys are settled on narrow columns and staged, which gives Spark their real size: wide
+    rows are joined to a list that is broadcast if it is small, and are not shuffled then. Rows are let
+    in by that list only, so a source that grows meanwhile brings in nothing that was not looked at.
+    """
+    batch = distinct_keys(batch_keys, on, where=keyed(on))
+    new = stage(batch.join(distinct_keys(known, on), on, "left_anti")).withColumn("_new", F.lit(True))
+    return rows.join(new, on, "left").where(F.col("_new") | ~keyed(on)).select(*rows.columns)
 
-def _without(rows: DataFrame, drop: DataFrame, batch: DataFrame, on: list[str]) -> DataFrame:
-    """Rows whose key is not in `drop`, a staged part of the batch's keys.
 
-    Wide rows are joined to the shorter of the two key lists, those to drop (few in a new batch) or
-    those to keep (few when a batch is repeated), so that Spark can broadcast it by its size and the
-    rows are not shuffled. Where even that list is long, the join is a sort-merge over two plain
-    exchanges, the form in which AQE splits a hot key's partition.
-    """
-    dropped = drop.count()
-    if dropped == 0:
-        return rows
-    total = batch.count()
-    if dropped == total:
-        return rows.where(~keyed(on))
-    if 2 * dropped <= total:
-        return rows.join(drop, on, "left_anti")
-    keep = stage(batch.join(drop, on, "left_anti")).withColumn("_keep", F.lit(True))
-    return rows.join(keep, on, "left").where(F.col("_keep") | ~keyed(on)).drop("_keep")
+def keep_listed(rows: DataFrame, listed: DataFrame, on: list[str]) -> DataFrame:
+    """Rows whose key is in `listed`."""
+    return rows.join(stage(distinct_keys(listed, on, where=keyed(on))), on, "left_semi").select(*rows.columns)
 
 
 def first_per_key(rows: DataFrame, on: list[str], order: list[str]) -> DataFrame:
     """The first row per key. Spark cuts each map task to one row per key before the shuffle.
 
-    Rows with a NULL in the key are no copies of one another and are all kept.
+    Rows with a NULL in the key are no copies of one another and are all kept, each as a key of its
+    own, so that they are spread over the tasks.
     """
-    place = F.row_number().over(Window.partitionBy(*on).orderBy(*order))
-    first = rows.where(keyed(on)).withColumn("_place", place).where("_place = 1").drop("_place")
-    return first.unionByName(rows.where(~keyed(on)))
+    own = F.when(~keyed(on), F.monotonically_increasing_id())
+    place = F.row_number().over(Window.partitionBy(*on, "_own").orderBy(*order))
+    ranked = rows.withColumn("_own", own).withColumn("_place", place)
+    return ranked.where("_place = 1").select(*rows.columns)
 
 
 def keyed(on: list[str]) -> Column:

@@ -11,6 +11,15 @@ from pyspark.sql import functions as F
 from millrace.session import stage
 
 
+def next_pages(pages: DataFrame, scope: list[str], page: str, empty: str) -> DataFrame:
+    """(scope, page) still to be asked for: the one after the last page, unless an empty one has landed.
+
+    `empty` is a boolean column that marks the answer that ends a scope's paging.
+    """
+    last = pages.groupBy(*scope).agg((F.max(page) + 1).alias(page), F.bool_or(empty).alias("_ended"))
+    return last.where(~F.coalesce("_ended", F.lit(False))).drop("_ended")
+
+
 def before_first_empty(
     pages: DataFrame, scope: list[str], page: str, empty_pages: DataFrame
 ) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.operators.pending import distinct_keys, pending_keys
+from millrace.session import stage
 
 
 class UnknownKeys(ValueError):
@@ -17,23 +18,23 @@ def unknown_keys(rows: DataFrame, known: DataFrame, on: str) -> DataFrame:
     return pending_keys(rows.select(F.upper(on).alias(on)), known.select(F.upper(on).alias(on)), on)
 
 
-MOST_LISTED = 1000
-
-
 def known_text(known: DataFrame, on: str) -> DataFrame:
-    """The known keys as one sorted line for a message; an error if they are too many for one."""
+    """The known keys as one sorted line for a message: for lists that are short by nature."""
     keys = distinct_keys(known.select(F.upper(on).alias(on)), on)
-    if keys.limit(MOST_LISTED + 1).count() > MOST_LISTED:
-        raise ValueError(f"more than {MOST_LISTED} known values of {on}: too many to list")
     return keys.agg(F.array_join(F.sort_array(F.collect_list(on)), ", ").alias("known"))
 
 
-def require_known(rows: DataFrame, known: DataFrame, on: str) -> None:
-    """Raise if any key is unknown, naming up to ten of them and the known ones."""
-    bad = [r[0] for r in unknown_keys(rows, known, on).orderBy(on).limit(10).collect()]
-    if bad:
-        listed = known_text(known, on).first()[0]
-        raise UnknownKeys(f"unknown {on}: {', '.join(map(str, bad))}; known: {listed}")
+def require_known(rows: DataFrame, known: DataFrame, on: str, named: int = 10) -> None:
+    """Raise if any key is unknown, with their number and the first `named` of them.
+
+    `unknown_keys` has them all, as rows to reject.
+    """
+    unknown = stage(unknown_keys(rows, known, on))
+    count = unknown.count()
+    if count:
+        names = [str(r[0]) for r in unknown.orderBy(on).limit(named).collect()]
+        more = f" and {count - len(names)} more" if count > len(names) else ""
+        raise UnknownKeys(f"{count} unknown {on}: {', '.join(names)}{more}")
 
 
 def missing_keys(required: DataFrame, listed: DataFrame, on: str) -> DataFrame:

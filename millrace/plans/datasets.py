@@ -10,15 +10,12 @@ from pyspark.sql import DataFrame
 from millrace import schemas
 from millrace.operators.landing import (
     check_arrays,
-    land_id_array,
-    land_paged_array,
     parse_document,
+    parse_id_array,
     parse_opaque_document,
+    parse_paged_array,
 )
 
-# What makes up one paged listing.
-LISTING = ("batch_id", "region", "tier", "division")
-
 
 @dataclass(frozen=True)
 class Dataset:
@@ -31,17 +28,15 @@ class Dataset:
     keys_scoped: bool = False  # only keys of the run's region and tier
     once: bool = False  # leave out keys that the dataset's own table has
     parse: Callable[[DataFrame], DataFrame] = check_arrays  # adds _malformed to all responses
-    explode: Callable[[DataFrame], DataFrame] | None = None  # for bodies that are arrays
+    explode: Callable[[DataFrame], DataFrame] | None = None  # all elements of bodies that are arrays
 
 
 def _league_entries(pages: DataFrame) -> DataFrame:
-    entries = land_paged_array(pages.select("page", "body"), schemas.LEAGUE_ENTRY)
-    return entries.withColumnRenamed("page", "_page")
+    return parse_paged_array(pages, schemas.LEAGUE_ENTRY)
 
 
 def _match_ids(lists: DataFrame) -> DataFrame:
-    ids = land_id_array(lists.select("key", "body"), "match_id")
-    return ids.withColumnRenamed("key", "puuid")
+    return parse_id_array(lists, "match_id")
 
 
 def _match_raw(documents: DataFrame) -> DataFrame:

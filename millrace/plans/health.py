@@ -18,7 +18,7 @@ def declare_layers(spark: SparkSession, prefix: str = "", folder: str | None = N
 
 def listed_schemas(spark: SparkSession, catalog: str | None = None) -> DataFrame:
     of = f" IN {catalog}" if catalog else ""
-    return spark.sql(f"SHOW SCHEMAS{of}").selectExpr("namespace AS name")
+    return spark.sql(f"SHOW SCHEMAS{of}").toDF("name")  # the column's name differs by setting
 
 
 def missing_schemas(

@@ -2,6 +2,9 @@
 
 A fetcher of the user's choice stands between the two: it takes the rows of `plan_requests` and
 lands a response log (schemas.RESPONSE_LOG). Keys and rows stay in Spark on both sides.
+
+A run lands the responses to its own requests: those of its region and tier, and of the fetch batches
+that it names, so that a log partitioned by dataset and batch is read in part only.
 """
 
 from __future__ import annotations
@@ -22,14 +25,15 @@ from millrace.functions.routing import (
 )
 from millrace.functions.urls import URL_FORMATS, fill
 from millrace.operators.audit import Batch, utc_now, with_audit
-from millrace.operators.merge import keep_listed
-from millrace.operators.paging import before_first_empty
+from millrace.operators.paging import before_first_empty, next_pages
 from millrace.operators.pending import distinct_keys, pending_keys
 from millrace.operators.responses import with_action
+from millrace.operators.runlog import batch_counters
 from millrace.plans import datasets
-from millrace.plans.datasets import LISTING, Dataset
+from millrace.plans.datasets import Dataset
 from millrace.session import stage
-from millrace.sources.tables import ensure_table, merge_into, scan
+from millrace.sources.landed import torn_lines
+from millrace.sources.tables import ensure_table, insert_counted, merge_into, scan
 
 
 @dataclass(frozen=True)
@@ -44,6 +48,7 @@ class Run:
     match_count: int = DEFAULT_MATCH_COUNT
     host_suffix: str = HOST_SUFFIX
     reject_null_keys: bool = False
+    fetched: tuple[str, ...] | None = None  # fetch batches to land; None: all that the log holds
     batch: Batch = field(default_factory=Batch)
 
     def __post_init__(self) -> None:
@@ -74,81 +79,169 @@ def source_url(dataset: Dataset, run: Run, key: Column | None = None, page: Colu
     )
 
 
-def plan_requests(spark: SparkSession, dataset: Dataset, run: Run) -> DataFrame:
-    """(key, _source_url) still to be asked for. A paged listing has no keys; it starts at page 1."""
+def plan_requests(
+    spark: SparkSession, dataset: Dataset, run: Run, log: DataFrame | None = None
+) -> DataFrame:
+    """(key, _source_url) still to be asked for; a NULL key cannot be asked for, see `null_keys`.
+
+    For a paged listing, (batch_id, page, _source_url): the page after the last one in `log` of each
+    of the run's fetch batches that has not ended, or page 1 where there is none.
+    """
     if dataset.keys_from is None:
-        raise ValueError(f"{dataset.name} is a paged listing: ask for its pages until one is empty")
+        if log is None:
+            raise ValueError(f"{dataset.name} is a paged listing: its next page depends on the log")
+        return _next_pages(spark, dataset, run, log)
     key = dataset.key
-    return _keys(spark, dataset, run).select(
+    return _keys(spark, dataset, run).where(F.col(key).isNotNull()).select(
         F.col(key).alias("key"), source_url(dataset, run, F.col(key)).alias("_source_url")
     )
 
 
+def _next_pages(spark: SparkSession, dataset: Dataset, run: Run, log: DataFrame) -> DataFrame:
+    answers = dataset.parse(with_action(own_responses(log, dataset, run)).where("action = 'parse'"))
+    following = next_pages(answers, ["batch_id"], "page", "_empty")
+    batches = [(b,) for b in run.fetched] if run.fetched is not None else [(None,)]
+    begun = answers.select("batch_id").distinct()
+    if run.fetched is None:  # page 1 only if nothing has landed yet
+        begun = begun.select(F.lit(None).cast("string").alias("batch_id")).distinct()
+    asked = spark.createDataFrame(batches, "batch_id string")
+    fresh = asked.join(begun, asked["batch_id"].eqNullSafe(begun["batch_id"]), "left_anti")
+    pages = following.unionByName(fresh.withColumn("page", F.lit(1).cast("bigint")))
+    return pages.withColumn("_source_url", source_url(dataset, run, page=F.col("page")))
+
+
+def null_keys(spark: SparkSession, dataset: Dataset, run: Run) -> int:
+    """Listed rows without a key, for which no request can be planned."""
+    listed = scan(spark, run.table(dataset.keys_from))
+    return listed.where(F.col(dataset.key).isNull()).where(_scope(dataset, run)).count()
+
+
+def _scope(dataset: Dataset, run: Run) -> Column:
+    if not dataset.keys_scoped:
+        return F.lit(True)
+    return (F.col("_region") == run.region) & (F.col("_tier") == run.tier)
+
+
 def _keys(spark: SparkSession, dataset: Dataset, run: Run) -> DataFrame:
     listed = scan(spark, run.table(dataset.keys_from))
-    where = None
-    if dataset.keys_scoped:
-        where = (F.col("_region") == run.region) & (F.col("_tier") == run.tier)
+    where = _scope(dataset, run)
     if dataset.once:
         landed = ensure_table(spark, run.table(dataset.name), dataset.columns)
         return pending_keys(listed, landed, dataset.key, where)
     return distinct_keys(listed, dataset.key, where)
 
 
+def own_responses(log: DataFrame, dataset: Dataset, run: Run) -> DataFrame:
+    """The log's responses to the run's requests for the dataset."""
+    own = (F.col("dataset") == dataset.name) & (F.col("region") == run.region) & (F.col("tier") == run.tier)
+    if dataset.keys_from is None:
+        own &= F.col("division") == run.division
+    if run.fetched is not None:
+        own &= F.col("batch_id").isin(*run.fetched)
+    return log.where(own)
+
+
 def ingest(spark: SparkSession, dataset: Dataset, log: DataFrame, run: Run) -> dict[str, int]:
-    """Land the dataset's responses and merge the new rows into its table; append to the run log.
+    """Land the run's responses for the dataset and merge the new rows into its table; append to the log.
 
-    Returns requests_made, count_429, new_rows, rejected (malformed bodies), failures (requests that
-    got no answer for good) and key_mismatch (documents that name another key than was asked for,
-    which stays pending).
+    Returns requests_made, count_429, new_rows, rejected (malformed bodies and elements), failures
+    (responses that say no for good), unanswered (requests that got nothing but 429s) and key_mismatch
+    (documents that name another key than was asked for, which stays pending).
     """
     started = utc_now()
-    log = with_action(log.where(F.col("dataset") == dataset.name))
-    if dataset.keys_from is None:
-        log = log.where(
-            (F.col("region") == run.region)
-            & (F.col("tier") == run.tier)
-            & (F.col("division") == run.division)
-        )
+    responses = with_action(own_responses(log, dataset, run))
     ensure_table(spark, run.table(dataset.name), dataset.columns)
-
-    facts = _stage_facts(dataset.parse(log), dataset)
-    counters = _counters(facts, dataset) | {"new_rows": 0}
-    facts = facts.where("action = 'parse' AND NOT _malformed")
-    answers = log.where("action = 'parse'")
-    if dataset.keys_from is None:
-        answers = before_first_empty(answers, list(LISTING), "page", facts.where("_empty"))
-        to_land = counters["requests_made"]
-    else:
-        keys = stage(_keys(spark, dataset, run).withColumnRenamed(dataset.key, "key"))
-        asked = facts.join(keys, "key", "left_semi")
-        to_land = asked.count()
-        if 0 < to_land < counters["requests_made"] - counters["rejected"]:
-            answers = keep_listed(answers, keys, ["key"], batch_keys=facts)
-    if to_land:
-        rows = dataset.parse(answers).where("NOT _malformed")
-        if dataset.explode:
-            rows = dataset.explode(rows)
-        counters["new_rows"] = merge_into(
-            _with_audit(dataset, rows.withColumnsRenamed({"body": "raw_json"}), run),
-            run.table(dataset.name),
-            list(dataset.merge_on),
-            reject_null_keys=run.reject_null_keys,
-            batch_keys=None if dataset.explode else asked,
-        )
-    _append_run_log(spark, dataset, run, started, counters)
+    land = _land_arrays if dataset.explode else _land_documents
+    actions, counters = land(spark, dataset, responses, run)
+    request = ["page" if dataset.keys_from is None else "key", "_fetch"]
+    counted = batch_counters(actions, [], "ts", request).first().asDict()
+    counters = {**{c: counted[c] for c in COUNTERS}, **counters}
+    _append_run_log(spark, dataset.name, run, started, counters, counted["status"])
     return counters
 
 
-def _stage_facts(parsed: DataFrame, dataset: Dataset) -> DataFrame:
-    """All that is needed of the responses but their bodies, taken in one pass over them."""
+COUNTERS = ("requests_made", "count_429", "rejected", "failures", "unanswered")
+
+
+def _fetch() -> Column:
+    return F.coalesce("batch_id", F.lit("")).alias("_fetch")
+
+
+def _land_documents(spark, dataset: Dataset, responses: DataFrame, run: Run) -> tuple[DataFrame, dict]:
+    """One row per requested key: the first good response by time, fetch batch and content.
+
+    One pass over the bodies stages narrow facts, on which it is settled which responses to land:
+    asked for, first of their key, and of a key that the table lacks. The second pass takes exactly
+    those, by a positive join, so that a log that grows meanwhile adds nothing.
+    """
+    own = dataset.key
+    responses = responses.withColumn("_id", F.xxhash64("key", "ts", "batch_id", "body"))
+    columns = ["key", "ts", "status", "action", "_malformed", own, "_id"]
+    facts = stage(dataset.parse(responses).select(*columns, _fetch()))
+    good = facts.where("action = 'parse' AND NOT _malformed")
+    keys = _keys(spark, dataset, run).withColumnRenamed(own, "key")
+    place = F.struct("ts", "_fetch", "_id", "n", own, "key").alias("first")
+    copies = good.join(keys, "key", "left_semi").groupBy("ts", "_fetch", "_id", own, "key").agg(
+        F.count(F.lit(1)).alias("n")
+    )
+    per_key = copies.groupBy("key").agg(F.min(place).alias("first")).select("first.*")
+    per_own = per_key.groupBy(own).agg(F.min(place).alias("first")).select("first.*")
+    known = distinct_keys(scan(spark, run.table(dataset.name)), own)
+    chosen = stage(per_own.join(known, own, "left_anti").select("key", "_id", "n"))
+    mismatched = good.where(F.col(own) != F.col("key")).count()
+    counters = {"new_rows": 0, "key_mismatch": mismatched}
+    if not chosen.isEmpty():
+        answers = responses.where("action = 'parse'")
+        once = answers.join(chosen.where("n = 1").drop("n"), ["key", "_id"], "left_semi")
+        again = answers.join(chosen.where("n > 1").drop("n"), ["key", "_id"], "left_semi")
+        rows = dataset.parse(once.unionByName(again.dropDuplicates(["key", "_id"])))
+        rows = _with_audit(dataset, rows.withColumnsRenamed({"body": "raw_json"}), run)
+        counters["new_rows"] = insert_counted(rows, run.table(dataset.name))
+    return facts.withColumn("_rejects", F.col("_malformed").cast("int")), counters
+
+
+def _land_arrays(spark, dataset: Dataset, responses: DataFrame, run: Run) -> tuple[DataFrame, dict]:
+    """Elements as rows. One pass over the bodies stages them all; what is left works on those."""
+    columns = ["key", "page", "ts", "status", "action", "_malformed", "_empty", "body"]
+    flat = stage(dataset.explode(dataset.parse(responses).select(*columns, _fetch())))
+    parsed = flat.where("action = 'parse' AND NOT _malformed")
+    rows = parsed.where("_is_element AND NOT _bad_element")
     if dataset.keys_from is None:
-        own = [*LISTING, "page", "_empty"]
-    elif dataset.explode:
-        own = ["key"]
+        rows = before_first_empty(rows, ["_fetch"], "page", parsed.where("_empty").select("_fetch", "page"))
+        rows = _of_first_listing(rows, flat).withColumnRenamed("page", "_page")
     else:
-        own = ["key", dataset.key]
-    return stage(parsed.select("status", "action", "_malformed", *own))
+        keys = _keys(spark, dataset, run).withColumnRenamed(dataset.key, "key")
+        rows = rows.join(keys, "key", "left_semi").withColumnRenamed("key", dataset.key)
+        rows = rows.dropDuplicates([c for c in dataset.merge_on if c in rows.columns])
+    new_rows = merge_into(
+        _with_audit(dataset, rows, run),
+        run.table(dataset.name),
+        list(dataset.merge_on),
+        reject_null_keys=run.reject_null_keys,
+    )
+    bad = F.col("_malformed") | (F.col("_is_element") & F.col("_bad_element"))
+    first = ~F.col("_is_element") | (F.col("_pos") == 0)
+    actions = flat.select(
+        "key", "page", "ts", "status", "action", "_malformed", "_fetch",
+        bad.cast("int").alias("_rejects"), first.alias("_response"),
+    )
+    return actions, {"new_rows": new_rows, "key_mismatch": 0}
+
+
+def _of_first_listing(rows: DataFrame, flat: DataFrame) -> DataFrame:
+    """A key's rows of the first listing that has it, as if listings had been landed one by one.
+
+    Listings are in the order of their first response, then of their fetch batch. Copies within one
+    listing stay, and so do rows without a key.
+    """
+    begins = stage(flat.groupBy("_fetch").agg(F.min("ts").alias("_begin")))
+    keyed_rows = rows.where("puuid IS NOT NULL")
+    first = keyed_rows.join(begins, "_fetch").groupBy("puuid").agg(
+        F.min(F.struct("_begin", "_fetch")).alias("_first")
+    )
+    first = first.select("puuid", F.col("_first._fetch").alias("_fetch"))
+    kept = keyed_rows.join(first, ["puuid", "_fetch"], "left_semi").select(*rows.columns)
+    return kept.unionByName(rows.where("puuid IS NULL"))
 
 
 def _with_audit(dataset: Dataset, rows: DataFrame, run: Run) -> DataFrame:
@@ -160,28 +253,10 @@ def _with_audit(dataset: Dataset, rows: DataFrame, run: Run) -> DataFrame:
     return with_audit(rows, run.batch, **extra)
 
 
-def _counters(facts: DataFrame, dataset: Dataset) -> dict[str, int]:
-    action, malformed = F.col("action"), F.col("_malformed")
-    counts = {
-        "requests_made": action == "parse",
-        "count_429": F.col("status") == 429,
-        "failures": action.isin("not_found", "fail"),
-        "rejected": (action == "parse") & malformed,
-        "key_mismatch": F.lit(False),
-    }
-    if not dataset.explode:
-        other = F.col(dataset.key) != F.col("key")
-        counts["key_mismatch"] = (action == "parse") & ~malformed & other
-    return facts.agg(*[F.count_if(c).alias(n) for n, c in counts.items()]).first().asDict()
-
-
-def _append_run_log(spark, dataset: Dataset, run: Run, started, counters: dict[str, int]) -> None:
-    failed = counters["failures"] + counters["rejected"]
-    done = counters["requests_made"] - counters["rejected"]
-    status = "SUCCESS" if not failed else "PARTIAL" if done else "FAILED"
+def _append_run_log(spark, dataset: str, run: Run, started, counters: dict[str, int], status: str) -> None:
     row = {
         "batch_id": run.batch.batch_id,
-        "dataset": dataset.name,
+        "dataset": dataset,
         "run_start": started,
         "run_end": utc_now(),
         "status": status,
@@ -194,5 +269,13 @@ def _append_run_log(spark, dataset: Dataset, run: Run, started, counters: dict[s
 
 
 def ingest_all(spark: SparkSession, log: DataFrame, run: Run) -> dict[str, dict[str, int]]:
-    """All six datasets of one response log, in the order of their keys."""
+    """All six datasets of one response log, in the order of their keys.
+
+    Lines of the log that could not be read belong to no dataset; they get a row of their own in the
+    run log, under the name `response_log`.
+    """
+    started, torn = utc_now(), torn_lines(log).count()
+    if torn:
+        counters = {"requests_made": 0, "count_429": 0, "new_rows": 0, "rejected": torn}
+        _append_run_log(spark, "response_log", run, started, counters, "FAILED")
     return {d.name: ingest(spark, d, log, run) for d in datasets.DATASETS}

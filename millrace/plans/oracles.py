@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from millrace.functions.routing import PLATFORM_TO_REGION, known_platforms
-
-_PLATFORMS = ", ".join(
-    f"({i}, '{code.lower()}', '{PLATFORM_TO_REGION[code]}')"
-    for i, code in enumerate(known_platforms())
-)
+# Platforms in the order of their names, with their regions.
+_PLATFORMS = """
+    (0, 'br1', 'americas'), (1, 'eun1', 'europe'), (2, 'euw1', 'europe'), (3, 'jp1', 'asia'),
+    (4, 'kr', 'asia'), (5, 'la1', 'americas'), (6, 'la2', 'americas'), (7, 'me1', 'europe'),
+    (8, 'na1', 'americas'), (9, 'oc1', 'sea'), (10, 'ph2', 'sea'), (11, 'ru', 'europe'),
+    (12, 'sg2', 'sea'), (13, 'th2', 'sea'), (14, 'tr1', 'europe'), (15, 'tw2', 'sea'), (16, 'vn2', 'sea')
+"""
 
 _LINES = """
     SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_shipdate FROM lineitem
@@ -141,6 +142,25 @@ ORACLES = {
         SELECT pages.* FROM pages LEFT JOIN stops USING (user_id)
         WHERE stop IS NULL OR page < stop
     """,
+    "plan_next_pages": """
+        WITH pages AS (
+            SELECT user_id, CAST(date_diff('day', DATE '2023-12-31', CAST(ts AS DATE)) AS INTEGER) AS page,
+                   count(*) FILTER (WHERE event_type = 'purchase') AS n_items
+            FROM events GROUP BY ALL)
+        SELECT user_id, page % 16 AS half, max(page) + 1 AS page FROM pages
+        GROUP BY user_id, page % 16 HAVING min(n_items) > 0
+    """,
+    "reject_elements": """
+        SELECT event_id // 100 AS page,
+               row_number() OVER (PARTITION BY event_id // 100 ORDER BY event_id) - 1 AS _pos,
+               CASE event_type WHEN 'error' THEN CAST(event_id AS VARCHAR)
+                    WHEN 'view' THEN 'v' || event_id END AS _raw_json
+        FROM events
+        QUALIFY event_type IN ('error', 'view', 'signup')
+    """,
+    "reject_log_lines": """
+        SELECT '{"dataset":"d","key":"' || event_id AS line FROM events WHERE event_type = 'error'
+    """,
     "audit_columns": """
         SELECT o_orderkey, 'KR' AS _region, 'CHALLENGER' AS _tier, CAST(1 AS INTEGER) AS _page,
                'batch-0001' AS _batch_id, TIMESTAMP '2024-01-01 00:00:00' AS _ingested_at
@@ -203,19 +223,22 @@ ORACLES = {
             FROM events)
     """,
     "run_log": f"""
-        SELECT *, CASE WHEN failures = 0 THEN 'SUCCESS' WHEN requests_made = 0 THEN 'FAILED'
-                       ELSE 'PARTIAL' END AS status
+        SELECT *, CAST(0 AS BIGINT) AS rejected,
+               CASE WHEN failures + unanswered = 0 THEN 'SUCCESS' WHEN requests_made = 0 THEN 'FAILED'
+                    ELSE 'PARTIAL' END AS status
         FROM (
             SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS batch_id, min(ts) AS run_start,
                    max(ts) AS run_end,
                    count(*) FILTER (WHERE action = 'parse') AS requests_made,
                    count(*) FILTER (WHERE status = 429) AS count_429,
-                   count(*) FILTER (WHERE action IN ('not_found', 'fail')) AS failures
+                   count(*) FILTER (WHERE action IN ('not_found', 'fail')) AS failures,
+                   count(*) FILTER (WHERE status = 429) AS unanswered
             FROM ({_ACTIONS}) GROUP BY 1)
     """,
     "table_roundtrip": "SELECT count(*) AS cnt FROM orders",
     "catalog_check": """
-        SELECT layer, true AS listed, (SELECT count(*) FROM orders) AS cnt
+        SELECT layer, true AS listed,
+               CASE layer WHEN 'bronze' THEN (SELECT count(*) FROM orders) ELSE 1 END AS cnt
         FROM (VALUES ('bronze'), ('silver'), ('gold')) AS l(layer)
     """,
     "ingest_rerun": """
@@ -236,4 +259,43 @@ ORACLES = {
             UNION ALL SELECT 'summoner_raw', players FROM n
             UNION ALL SELECT 'account_raw', players FROM n)
     """,
+    "ingest_match_raw": """
+        WITH asked AS (
+            SELECT o_orderkey AS k, CAST(o_totalprice AS DECIMAL(30, 6)) AS price FROM orders
+            WHERE (o_orderstatus = 'F' OR o_orderkey % 100 = 0)
+              AND o_orderkey % 7 <> 0 AND o_orderkey % 11 <> 0)
+        SELECT CAST(k AS VARCHAR) AS match_id,
+               '{"metadata":{"matchId":"' || k || '"},"info":{"platformId":"KR","gameCreation":'
+                   || CAST(trunc(price) AS BIGINT) || '}}' AS raw_json,
+               'KR' AS platform_id, CAST(trunc(price) AS BIGINT) AS game_creation,
+               'batch-0001' AS _batch_id, TIMESTAMP '2024-01-01 00:00:00' AS _ingested_at,
+               'https://asia.api.example.com/lol/match/v5/matches/' || k AS _source_url
+        FROM asked
+    """,
+    "ingest_league_entries": """
+        SELECT CAST(c_custkey AS VARCHAR) AS puuid,
+               CAST(c_nationkey + CASE WHEN c_acctbal >= 0 THEN 0 ELSE 1000 END AS BIGINT) AS leaguePoints,
+               'KR' AS _region, 'CHALLENGER' AS _tier, c_custkey // 100 + 1 AS _page,
+               'batch-0001' AS _batch_id, TIMESTAMP '2024-01-01 00:00:00' AS _ingested_at,
+               'https://kr.api.example.com/lol/league-exp/v4/entries/RANKED_SOLO_5x5/CHALLENGER/I?page='
+                   || (c_custkey // 100 + 1) AS _source_url
+        FROM customer
+    """,
+    "ingest_run_log": """
+        WITH asked AS (
+            SELECT CASE WHEN c_mktsegment = 'MACHINERY' THEN 'fetch-3' WHEN c_nationkey % 3 = 0 THEN 'fetch-0'
+                        ELSE 'fetch-1+fetch-2' END AS batch_id, c_mktsegment AS s
+            FROM customer),
+        counted AS (
+            SELECT batch_id, count(*) FILTER (WHERE s NOT IN ('MACHINERY', 'BUILDING')) AS requests_made,
+                   count(*) FILTER (WHERE s IN ('MACHINERY', 'FURNITURE')) AS count_429,
+                   count(*) FILTER (WHERE s NOT IN ('MACHINERY', 'BUILDING', 'HOUSEHOLD')) AS new_rows,
+                   count(*) FILTER (WHERE s = 'HOUSEHOLD') AS rejected,
+                   count(*) FILTER (WHERE s IN ('BUILDING', 'MACHINERY')) AS lost
+            FROM asked GROUP BY batch_id)
+        SELECT batch_id, 'summoner_raw' AS dataset, requests_made, count_429, new_rows, rejected,
+               CASE WHEN rejected + lost = 0 THEN 'SUCCESS' WHEN new_rows = 0 THEN 'FAILED'
+                    ELSE 'PARTIAL' END AS status
+        FROM counted
+    """,
 }

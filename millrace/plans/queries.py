@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import datetime, timezone
 
@@ -20,16 +21,16 @@ from millrace.operators import landing, rates
 from millrace.operators.audit import Batch, with_audit
 from millrace.operators.latest import latest_per_key
 from millrace.operators.merge import insert_only_merge
-from millrace.operators.paging import before_first_empty
+from millrace.operators.paging import before_first_empty, next_pages
 from millrace.operators.pending import distinct_keys, pending_keys
 from millrace.operators.responses import with_action
 from millrace.operators.runlog import batch_counters
 from millrace.operators.validate import known_text, missing_keys, unknown_keys
-from millrace.plans import samples
+from millrace.plans import datasets, samples
 from millrace.plans.health import LAYERS, declare_layers, listed_schemas, roundtrip
-from millrace.plans.ingest import Run, ingest_all
-from millrace.session import scratch_schema, shared_dir
-from millrace.sources.landed import read_table
+from millrace.plans.ingest import Run, ingest, ingest_all
+from millrace.session import scratch_schema, shared_dir, stage
+from millrace.sources.landed import read_response_log, read_table, torn_lines
 from millrace.sources.tables import append, ensure_table, merge_into
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -222,6 +223,49 @@ def paged_until_empty(spark: SparkSession, sf: str) -> DataFrame:
     return before_first_empty(pages, ["user_id"], "page", pages.where("n_items = 0"))
 
 
+@query
+def plan_next_pages(spark: SparkSession, sf: str) -> DataFrame:
+    """A user's days are pages of events; a day without a purchase ends them."""
+    pages = (
+        read_table(spark, sf, "events")
+        .groupBy("user_id", F.date_diff("ts", F.lit("2023-12-31")).alias("page"))
+        .agg((F.count_if(F.col("event_type") == "purchase") == 0).alias("_empty"))
+    )
+    # few users have bought on each of their days; most of a user's pages are looked at in halves
+    halves = pages.withColumn("half", F.col("page") % 16)
+    return next_pages(halves, ["user_id", "half"], "page", "_empty")
+
+
+@query
+def reject_elements(spark: SparkSession, sf: str) -> DataFrame:
+    """Errors are put into their page as a number, signups as null, and views as a text."""
+    kind, event_id = F.col("event_type"), F.col("event_id").cast("string")
+    element = (
+        F.when(kind == "error", event_id)
+        .when(kind == "signup", "null")
+        .when(kind == "view", F.concat(F.lit('"v'), event_id, F.lit('"')))
+        .otherwise(F.concat(F.lit('{"event_id":'), event_id, F.lit("}")))
+    )
+    items = F.transform(F.sort_array(F.collect_list(F.struct("event_id", element.alias("x")))), lambda e: e["x"])
+    pages = read_table(spark, sf, "events").groupBy(samples.block_of("event_id").alias("page")).agg(
+        F.concat(F.lit("["), F.array_join(items, ","), F.lit("]")).alias("body")
+    )
+    parsed = landing.parse_paged_array(pages, "event_id BIGINT")
+    return parsed.where("_is_element AND _bad_element").select("page", "_pos", "_raw_json")
+
+
+@query
+def reject_log_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """A response log of which the lines of errors are cut off."""
+    events = read_table(spark, sf, "events")
+    row = F.to_json(F.struct(F.lit("d").alias("dataset"), F.col("event_id").cast("string").alias("key")))
+    cut = F.substring(row, F.lit(1), F.length(row) - 2)
+    line = F.when(F.col("event_type") == "error", cut).otherwise(row)
+    path = f"{shared_dir(spark)}/millrace-logs/{uuid.uuid4().hex}"
+    events.select(line.alias("value")).write.text(path)
+    return torn_lines(read_response_log(spark, path))
+
+
 @query
 def audit_columns(spark: SparkSession, sf: str) -> DataFrame:
     orders = read_table(spark, sf, "orders").select("o_orderkey")
@@ -336,7 +380,7 @@ def run_log(spark: SparkSession, sf: str) -> DataFrame:
     """Days stand for batches."""
     log = with_action(samples.event_responses(read_table(spark, sf, "events")))
     log = log.withColumn("batch_id", F.to_date("ts").cast("string"))
-    return batch_counters(log, ["batch_id"], "ts")
+    return batch_counters(log, ["batch_id"], "ts", ["event_id"])
 
 
 # Tables, catalog and whole runs
@@ -351,7 +395,7 @@ def table_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def catalog_check(spark: SparkSession, sf: str) -> DataFrame:
-    """The layer schemas are declared and listed, and each can hold the orders."""
+    """The layer schemas are declared and listed; one can hold the orders, and the others a row."""
     orders = read_table(spark, sf, "orders")
     with scratch_schema(spark) as scratch:
         prefix = f"{scratch}_"
@@ -360,8 +404,8 @@ def catalog_check(spark: SparkSession, sf: str) -> DataFrame:
             declare_layers(spark, prefix, f"{shared_dir(spark)}/millrace-schemas")
             listed = {r[0] for r in listed_schemas(spark).where(F.col("name").isin(names)).collect()}
             rows = [
-                (layer, name in listed, roundtrip(spark, f"{name}.smoke_test", orders))
-                for layer, name in zip(LAYERS, names)
+                (layer, name in listed, roundtrip(spark, f"{name}.smoke_test", rows_))
+                for layer, name, rows_ in zip(LAYERS, names, (orders, None, None))
             ]
         finally:
             for name in names:
@@ -373,9 +417,53 @@ def catalog_check(spark: SparkSession, sf: str) -> DataFrame:
 def ingest_rerun(spark: SparkSession, sf: str) -> DataFrame:
     """All six datasets, twice on the same responses: the second run finds nothing new."""
     with scratch_schema(spark) as schema:
-        run = Run("kr", "challenger", bronze=schema)
+        runs = [Run("kr", "challenger", bronze=schema, fetched=("fetch-1",)) for _ in range(2)]
         log = f"{schema}.responses"
-        samples.player_responses(spark, sf, run).write.partitionBy("dataset").saveAsTable(log)
-        first, second = (ingest_all(spark, spark.table(log), run) for _ in range(2))
+        responses = samples.player_responses(spark, sf, runs[0], "fetch-1")
+        responses.write.partitionBy("dataset", "batch_id").saveAsTable(log)
+        first, second = (ingest_all(spark, spark.table(log), run) for run in runs)
     rows = [(name, first[name]["new_rows"], second[name]["new_rows"]) for name in first]
     return spark.createDataFrame(rows, "dataset STRING, first_run BIGINT, second_run BIGINT")
+
+
+def _landed(spark: SparkSession, table: str) -> DataFrame:
+    """A table's rows, copied out of the scratch schema before it is dropped."""
+    return stage(spark.table(table))
+
+
+@query
+def ingest_match_raw(spark: SparkSession, sf: str) -> DataFrame:
+    """The landed rows, from a log with repeated answers, another region and another fetch batch."""
+    with scratch_schema(spark) as schema:
+        run = Run("kr", "challenger", bronze=schema, fetched=("fetch-1",), batch=BATCH, host_suffix=HOST)
+        samples.listed_matches(spark, sf, run)
+        log = f"{schema}.responses"
+        samples.match_responses(spark, sf, run).write.partitionBy("dataset", "batch_id").saveAsTable(log)
+        ingest(spark, datasets.MATCH_RAW, spark.table(log), run)
+        return _landed(spark, run.table("match_raw"))
+
+
+@query
+def ingest_league_entries(spark: SparkSession, sf: str) -> DataFrame:
+    """The landed rows of two listings, of which the first one wins, with junk among the elements."""
+    with scratch_schema(spark) as schema:
+        run = Run("kr", "challenger", bronze=schema, batch=BATCH, host_suffix=HOST)
+        log = f"{schema}.responses"
+        samples.listings(spark, sf, run).write.partitionBy("dataset", "batch_id").saveAsTable(log)
+        ingest(spark, datasets.LEAGUE_ENTRIES, spark.table(log), run)
+        rows = _landed(spark, run.table("league_entries"))
+    return rows.select("puuid", "leaguePoints", "_region", "_tier", "_page", "_batch_id", "_ingested_at", "_source_url")
+
+
+@query
+def ingest_run_log(spark: SparkSession, sf: str) -> DataFrame:
+    """The run log of three runs, of which one gets nothing but 429s."""
+    with scratch_schema(spark) as schema:
+        samples.listed_players(spark, sf, schema)
+        log = f"{schema}.responses"
+        samples.profile_responses(spark, sf).write.partitionBy("dataset", "batch_id").saveAsTable(log)
+        for fetched in (("fetch-0",), ("fetch-1", "fetch-2"), ("fetch-3",)):
+            batch = Batch("+".join(fetched), BATCH.ingested_at)
+            run = Run("kr", "challenger", bronze=schema, fetched=fetched, batch=batch)
+            ingest(spark, datasets.SUMMONER, spark.table(log), run)
+        return _landed(spark, f"{schema}.ingestion_log").drop("run_start", "run_end")

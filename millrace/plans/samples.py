@@ -16,7 +16,9 @@ from millrace.functions.timing import epoch_millis
 from millrace.operators.latest import latest_per_key
 from millrace.plans import datasets
 from millrace.plans.ingest import Run
+from millrace.schemas import LEAGUE_ENTRIES, MATCH_IDS, RESPONSE_LOG
 from millrace.sources.landed import read_table
+from millrace.sources.tables import append, ensure_table
 
 PAGE = 100
 
@@ -73,7 +75,7 @@ def event_responses(events: DataFrame) -> DataFrame:
     )
 
 
-def player_responses(spark: SparkSession, folder: str, run: Run) -> DataFrame:
+def player_responses(spark: SparkSession, folder: str, run: Run, fetch: str) -> DataFrame:
     """A response log of all six datasets: customers stand for players, orders for matches.
 
     Every order has a document, whether or not it is among the newest of its customer.
@@ -121,7 +123,7 @@ def player_responses(spark: SparkSession, folder: str, run: Run) -> DataFrame:
     }
     logs = [rows.withColumn("dataset", F.lit(d.name)) for d, rows in bodies.items()]
     constants = {
-        "batch_id": F.lit(run.batch.batch_id),
+        "batch_id": F.lit(fetch),
         "region": F.lit(run.region),
         "tier": F.lit(run.tier),
         "division": F.lit(run.division),
@@ -130,3 +132,99 @@ def player_responses(spark: SparkSession, folder: str, run: Run) -> DataFrame:
         "retry_after": F.lit(None).cast("int"),
     }
     return reduce(partial(DataFrame.unionByName, allowMissingColumns=True), logs).withColumns(constants)
+
+
+def _as_log(rows: DataFrame, dataset: str) -> DataFrame:
+    """Rows with some columns of a response log, filled up to one."""
+    filled = {"dataset": F.lit(dataset), "tier": F.lit("CHALLENGER"), "division": F.lit("I")}
+    for column in (c.strip().split() for c in RESPONSE_LOG.split(",")):
+        name, kind = column
+        if name not in rows.columns and name not in filled:
+            filled[name] = F.lit(None).cast(kind)
+    return rows.withColumns(filled)
+
+
+def listed_matches(spark: SparkSession, folder: str, run: Run) -> None:
+    """The finished orders, and every hundredth by its key, are listed as matches."""
+    orders = read_table(spark, folder, "orders").where("o_orderstatus = 'F' OR o_orderkey % 100 = 0")
+    ensure_table(spark, run.table("match_ids"), MATCH_IDS)
+    append(
+        orders.selectExpr(
+            "CAST(o_custkey AS STRING) AS puuid", "CAST(o_orderkey AS STRING) AS match_id",
+            "'KR' AS _region", "'CHALLENGER' AS _tier", "'b' AS _batch_id", "o_orderdate AS _ingested_at",
+        ),
+        run.table("match_ids"),
+    )
+
+
+def match_responses(spark: SparkSession, folder: str, run: Run) -> DataFrame:
+    """Every order is answered; some twice, some to another region, some by another fetch batch."""
+    key, at = F.col("o_orderkey").cast("string"), F.col("o_orderdate").cast("timestamp")
+    orders = read_table(spark, folder, "orders")
+
+    def body(price: Column) -> Column:
+        info = F.struct(F.lit("KR").alias("platformId"), price.cast("bigint").alias("gameCreation"))
+        return F.to_json(F.struct(F.struct(key.alias("matchId")).alias("metadata"), info.alias("info")))
+
+    answers = orders.select(
+        F.when(F.col("o_orderkey") % 11 == 0, "fetch-2").otherwise("fetch-1").alias("batch_id"),
+        F.when(F.col("o_orderkey") % 7 == 0, "JP1").otherwise("KR").alias("region"),
+        key.alias("key"), at.alias("ts"), F.lit(200).alias("status"), body(F.col("o_totalprice")).alias("body"),
+    )
+    late = answers.where("key % 3 = 0").withColumn("ts", F.col("ts") + F.expr("INTERVAL 1 HOUR"))
+    late = late.withColumn("body", F.replace("body", F.lit('"KR"'), F.lit('"late"')))
+    exact = answers.where("key % 5 = 0")
+    return _as_log(answers.unionByName(late).unionByName(exact), "match_raw")
+
+
+def listings(spark: SparkSession, folder: str, run: Run) -> DataFrame:
+    """Two listings of customers by hundreds: the later one has all of them, with other points.
+
+    Each page of the first has junk at its end; pages behind an empty one are not to be landed.
+    """
+    customer = read_table(spark, folder, "customer")
+
+    def listing(rows: DataFrame, fetch: str, at: str, points: int, junk: str) -> DataFrame:
+        entry = F.struct(F.col("c_custkey").cast("string").alias("puuid"), (F.col("c_nationkey") + points).alias("leaguePoints"))
+        text = F.array_join(F.transform(F.sort_array(F.collect_list(entry)), lambda e: F.to_json(e)), ",")
+        pages = rows.groupBy((block_of("c_custkey") + 1).alias("page")).agg(
+            F.concat(F.lit("["), text, F.lit(junk + "]")).alias("body")
+        )
+        end = rows.agg((F.max(block_of("c_custkey")) + 2).alias("page")).withColumn("body", F.lit("[]"))
+        behind = end.select((F.col("page") + 1).alias("page"), F.lit('[{"puuid":"behind"}]').alias("body"))
+        return pages.unionByName(end).unionByName(behind).select(
+            "page", "body", F.lit(fetch).alias("batch_id"), F.lit(at).cast("timestamp").alias("ts")
+        )
+
+    first = listing(customer.where("c_acctbal >= 0"), "fetch-b", "2024-01-01", 0, ',"junk",null,7')
+    second = listing(customer, "fetch-a", "2024-01-02", 1000, "")
+    both = first.unionByName(second).withColumns({"region": F.lit(run.region), "status": F.lit(200)})
+    return _as_log(both, "league_entries")
+
+
+def listed_players(spark: SparkSession, folder: str, schema: str) -> None:
+    """All customers are listed as players."""
+    table = f"{schema}.league_entries"
+    ensure_table(spark, table, LEAGUE_ENTRIES)
+    nulls = {name: F.lit(None).cast(kind) for name, kind in spark.table(table).dtypes}
+    given = {"puuid": F.col("c_custkey").cast("string"), "_region": F.lit("KR"), "_tier": F.lit("CHALLENGER")}
+    append(read_table(spark, folder, "customer").select(*[c.alias(n) for n, c in {**nulls, **given}.items()]), table)
+
+
+def profile_responses(spark: SparkSession, folder: str) -> DataFrame:
+    """Customers of three market segments get good answers, after 429s, 404s or bad bodies; one none."""
+    segment, place = F.col("c_mktsegment"), F.col("c_nationkey") % 3
+    customer = read_table(spark, folder, "customer")
+    key = F.col("c_custkey").cast("string")
+    rows = customer.select(
+        F.when(segment == "MACHINERY", "fetch-3").otherwise(F.concat(F.lit("fetch-"), place.cast("string"))).alias("batch_id"),
+        F.lit("KR").alias("region"),
+        key.alias("key"),
+        F.lit("2024-01-01").cast("timestamp").alias("ts"),
+        F.when(segment == "BUILDING", 404).when(segment.isin("MACHINERY", "FURNITURE"), 429).otherwise(200).alias("status"),
+        F.when(segment == "HOUSEHOLD", "oops").otherwise(F.to_json(F.struct(key.alias("puuid")))).alias("body"),
+    )
+    again = rows.where("status = 429 AND batch_id <> 'fetch-3'").withColumns(
+        {"status": F.lit(200), "ts": F.lit("2024-01-02").cast("timestamp")}
+    )
+    return _as_log(rows.unionByName(again), "summoner_raw")

@@ -9,8 +9,21 @@ from millrace.schemas import RESPONSE_LOG
 
 
 def read_response_log(spark: SparkSession, path: str) -> DataFrame:
-    """JSON lines in the form of RESPONSE_LOG, with the body as a string."""
-    return spark.read.schema(RESPONSE_LOG).json(path)
+    """JSON lines in the form of RESPONSE_LOG, with the body as a string.
+
+    A line that is cut off or no JSON is kept in `_corrupt_record`, with NULL in all other columns; see
+    `torn_lines`.
+    """
+    return spark.read.schema(f"{RESPONSE_LOG}, _corrupt_record STRING").json(path)
+
+
+def torn_lines(log: DataFrame) -> DataFrame:
+    """(line): what `read_response_log` could not read. None in a log without `_corrupt_record`."""
+    if "_corrupt_record" not in log.columns:
+        return log.sparkSession.createDataFrame([], "line string")
+    # With a column of the data: a scan of the corrupt records alone is not allowed.
+    kept = log.select("dataset", "_corrupt_record").where("_corrupt_record IS NOT NULL")
+    return kept.select(F.col("_corrupt_record").alias("line"), "dataset").select("line")
 
 
 def read_bodies(spark: SparkSession, path: str) -> DataFrame:

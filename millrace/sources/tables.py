@@ -66,12 +66,16 @@ def merge_into(
     target = scan(source.sparkSession, table)
     merge = insert_only_merge(source, target, on, dedupe_by, reject_null_keys, batch_keys)
     inserts = merge.inserts
-    written = Observation()
     if rebalance_by:
         inserts = inserts.hint("rebalance", *rebalance_by)
-    counted = inserts.selectExpr(*_as_in(target)).observe(
-        written, F.count(F.lit(1)).alias("rows")
-    )
+    return insert_counted(inserts, table)
+
+
+def insert_counted(rows: DataFrame, table: str) -> int:
+    """Append the rows by column name; return how many were written, as the write itself counts."""
+    written = Observation()
+    target = rows.sparkSession.table(table)
+    counted = rows.selectExpr(*_as_in(target)).observe(written, F.count(F.lit(1)).alias("rows"))
     counted.write.insertInto(table)
     return written.get.get("rows") or 0
 

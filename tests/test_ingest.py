@@ -1,6 +1,7 @@
 """The six jobs on small responses, with the cases that real ones bring."""
 
 import json
+from dataclasses import replace
 from datetime import datetime, timezone
 
 import pytest
@@ -10,7 +11,8 @@ from pyspark.sql import functions as F
 from millrace import schemas
 from millrace.operators.audit import Batch
 from millrace.plans import datasets
-from millrace.plans.ingest import Run, ingest, ingest_all, plan_requests
+from millrace.plans.ingest import Run, ingest, ingest_all, null_keys, own_responses, plan_requests
+from millrace.sources.landed import read_response_log
 from millrace.sources.tables import append
 
 AT = datetime(2024, 1, 1, tzinfo=timezone.utc)
@@ -164,6 +166,124 @@ def test_requests_are_planned_for_pending_keys_only(spark, run):
         plan_requests(spark, datasets.LEAGUE_ENTRIES, run)
 
 
+def test_next_pages_of_listings(spark, run):
+    entries = datasets.LEAGUE_ENTRIES
+    nothing = log_of(spark, *pages([entry("a")], tier="MASTER"))
+    assert rows(plan_requests(spark, entries, run, nothing).select("batch_id", "page")) == [(None, 1)]
+    begun = log_of(spark, *pages([entry("a")], [entry("b")]), response("league_entries", None, page=3, status=429))
+    asked = plan_requests(spark, entries, run, begun)
+    assert rows(asked.select("batch_id", "page")) == [("fetch-1", 3)]
+    assert asked.first()._source_url.endswith("page=3")
+    assert plan_requests(spark, entries, run, log_of(spark, *pages([entry("a")], []))).count() == 0
+    named = replace(run, fetched=("fetch-1", "fetch-2"))
+    assert rows(plan_requests(spark, entries, named, begun).select("batch_id", "page")) == [("fetch-1", 3), ("fetch-2", 1)]
+
+
+def test_a_null_key_is_not_asked_for(spark, run):
+    ingest(spark, datasets.LEAGUE_ENTRIES, log_of(spark, *pages([entry("a"), {"wins": 1}], [])), run)
+    assert rows(plan_requests(spark, datasets.SUMMONER, run).select("key")) == [("a",)]
+    assert null_keys(spark, datasets.SUMMONER, run) == 1
+
+
+def listed(spark, run, *puuids):
+    ingest(spark, datasets.LEAGUE_ENTRIES, log_of(spark, *pages([entry(p) for p in puuids], [])), run)
+
+
+def at(row, ts, batch="fetch-1"):
+    return (row[0], batch, *row[2:11], ts, row[12])
+
+
+def test_one_response_per_key_lands(spark, run):
+    listed(spark, run, "a")
+    late, early = datetime(2024, 2, 1), datetime(2024, 1, 1)
+    log = log_of(
+        spark,
+        at(response("summoner_raw", {"puuid": "a", "v": 2}, key="a"), late),
+        at(response("summoner_raw", {"puuid": "a", "v": 1}, key="a"), early),
+        at(response("summoner_raw", {"puuid": "a", "v": 1}, key="a"), early),
+        at(response("summoner_raw", {"puuid": "a", "v": 0}, key="a", region="JP1"), early),
+    )
+    out = ingest(spark, datasets.SUMMONER, log, run)
+    assert (out["new_rows"], out["requests_made"]) == (1, 3)
+    assert json.loads(table(spark, run, "summoner_raw").first().raw_json)["v"] == 1
+
+
+def test_a_log_that_grows_during_a_run(spark, run, tmp_path, monkeypatch):
+    """A stranger and a second answer are appended between the two passes over the bodies."""
+    from millrace.plans import ingest as module
+
+    listed(spark, run, "a", "b")
+    path = str(tmp_path / "log")
+    log_of(spark, response("summoner_raw", {"puuid": "a"}, key="a")).write.parquet(path)
+    real = module.insert_counted
+
+    def grow(rows_, name):
+        more = [
+            response("summoner_raw", {}, key="stranger"),
+            at(response("summoner_raw", {"late": 1}, key="a"), datetime(2025, 1, 1)),
+            response("summoner_raw", {}, key="b"),
+        ]
+        log_of(spark, *more).write.mode("append").parquet(path)
+        return real(rows_, name)
+
+    monkeypatch.setattr(module, "insert_counted", grow)
+    out = ingest(spark, datasets.SUMMONER, spark.read.parquet(path), run)
+    assert out["new_rows"] == 1
+    assert rows(table(spark, run, "summoner_raw").select("puuid", "raw_json")) == [("a", '{"puuid": "a"}')]
+
+
+def test_the_first_of_two_listings_wins(spark, run):
+    first = [at(r, datetime(2024, 1, 1), "z") for r in pages([entry("a", 1), entry("b", 1), {"wins": 1}], [])]
+    second = [at(r, datetime(2024, 1, 2), "y") for r in pages([entry("a", 2), entry("c", 2)], [])]
+    assert ingest(spark, datasets.LEAGUE_ENTRIES, log_of(spark, *first, *second), run)["new_rows"] == 4
+    got = table(spark, run, "league_entries").select("puuid", "leaguePoints")
+    assert rows(got) == sorted([("a", 1), ("b", 1), ("c", 2), (None, None)], key=repr)
+
+
+def test_a_run_of_nothing_but_429s_failed(spark, run):
+    listed(spark, run, "a", "b")
+    log = log_of(
+        spark,
+        response("summoner_raw", None, key="a", status=429, kind="method", after=1),
+        response("summoner_raw", None, key="a", status=429, kind="service"),
+        response("summoner_raw", None, key="b", status=429),
+    )
+    out = ingest(spark, datasets.SUMMONER, log, run)
+    assert (out["unanswered"], out["requests_made"], out["count_429"]) == (2, 0, 3)
+    last = table(spark, run, "ingestion_log").where("dataset = 'summoner_raw'").first()
+    assert (last.status, last.requests_made) == ("FAILED", 0)
+
+
+def test_junk_elements_are_rejected_and_never_land(spark, run):
+    log = log_of(spark, *pages(["abc", None, 7, entry("a")], []))
+    outs = [ingest(spark, datasets.LEAGUE_ENTRIES, log, run) for _ in range(2)]
+    assert [(o["new_rows"], o["rejected"], o["requests_made"]) for o in outs] == [(1, 3, 2), (0, 3, 2)]
+
+
+def test_only_the_named_fetch_batches_are_read(spark, run, schema):
+    log = log_of(
+        spark,
+        *pages([entry("a")], []),
+        *[at(r, AT, "fetch-2") for r in pages([entry("b")], [])],
+    )
+    log.write.partitionBy("dataset", "batch_id").saveAsTable(f"{schema}.responses")
+    named = replace(run, fetched=("fetch-2",))
+    own = own_responses(spark.table(f"{schema}.responses"), datasets.LEAGUE_ENTRIES, named)
+    plan = own._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "fetch-2" in plan[plan.index("PartitionFilters") :]
+    out = ingest(spark, datasets.LEAGUE_ENTRIES, spark.table(f"{schema}.responses"), named)
+    assert (out["new_rows"], out["requests_made"]) == (1, 2)
+    assert rows(table(spark, run, "league_entries").select("puuid")) == [("b",)]
+
+
+def test_torn_lines_are_logged(spark, run, tmp_path):
+    line = json.dumps({"dataset": "summoner_raw", "status": 200})
+    (tmp_path / "1.jsonl").write_text(f"{line}\n{line[:20]}\n")
+    ingest_all(spark, read_response_log(spark, str(tmp_path)), run)
+    torn = table(spark, run, "ingestion_log").where("dataset = 'response_log'").first()
+    assert (torn.rejected, torn.status) == (1, "FAILED")
+
+
 def test_pending_matches_are_not_scoped_to_a_region(spark, run):
     ids = [("p", "m1", "KR"), ("q", "m2", "JP1")]
     ingest(spark, datasets.LEAGUE_ENTRIES, log_of(spark, *pages([])), run)
@@ -176,17 +296,17 @@ def test_pending_matches_are_not_scoped_to_a_region(spark, run):
 
 
 def test_wide_bodies_are_not_shuffled(spark, run, monkeypatch, executed):
-    """A new batch: bodies go from the scan to the write."""
+    """What is written of documents goes from the scan of the log to the table."""
     from millrace.plans import ingest as module
 
     plans = []
-    real = module.merge_into
+    real = module.insert_counted
 
-    def spy(rows_, *args, **kwargs):
+    def spy(rows_, *args):
         plans.append(executed(rows_))
-        return real(rows_, *args, **kwargs)
+        return real(rows_, *args)
 
-    monkeypatch.setattr(module, "merge_into", spy)
+    monkeypatch.setattr(module, "insert_counted", spy)
     ingest_all(spark, everything(spark), run)
-    assert len(plans) == 6
-    assert all("Exchange hashpartitioning" not in p for p in plans)
+    assert len(plans) == 4
+    assert all("Exchange hashpartitioning" not in p.split("== Initial Plan ==")[0] for p in plans)

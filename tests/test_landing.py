@@ -11,13 +11,14 @@ from millrace.operators.landing import (
     land_paged_array,
     parse_document,
     parse_opaque_document,
+    parse_paged_array,
 )
 from millrace.operators.paging import before_first_empty
-from millrace.sources.landed import read_bodies, read_response_log
+from millrace.sources.landed import read_bodies, read_response_log, torn_lines
 
 
 def test_array_elements_become_rows(spark):
-    body = '[{"a": 1, "b": "x", "extra": [1, 2]}, {"b": null}, {"a": "bad", "b": "y"}]'
+    body = '[{"a": 1, "b": "x", "extra": [1, 2]}, {"b": null}, {"a": "bad", "b": "y"}, "abc", null, 7]'
     pages = spark.createDataFrame([(1, body), (2, "[]"), (3, "oops"), (4, None)], "page int, body string")
     df = land_paged_array(pages, "a bigint, b string, c boolean")
     assert df.columns == ["page", "a", "b", "c", "_raw_json", "_pos"]
@@ -26,6 +27,8 @@ def test_array_elements_become_rows(spark):
         (1, None, None, None, 1),
         (1, None, "y", None, 2),
     ]
+    bad = parse_paged_array(pages, "a bigint, b string, c boolean").where("_bad_element AND _is_element")
+    assert rows(bad.select("_pos", "_raw_json")) == [(3, "abc"), (4, None), (5, "7")]
     first = df.where("_pos = 0").first()._raw_json
     assert first == '{"a":1,"b":"x","extra":[1,2]}'
 
@@ -150,3 +153,7 @@ def test_landed_files(spark, tmp_path):
     (log / "1.jsonl").write_text('{"dataset": "d", "key": "k", "status": 200, "body": "[]"}\n')
     row = read_response_log(spark, str(log)).first()
     assert (row.dataset, row.key, row.status, row.body, row.page) == ("d", "k", 200, "[]", None)
+    (log / "2.jsonl").write_text('{"dataset": "d", "key"\n{"dataset": "e"}\n')
+    found = read_response_log(spark, str(log))
+    assert rows(torn_lines(found)) == [('{"dataset": "d", "key"',)]
+    assert found.count() == 3 and torn_lines(found.drop("_corrupt_record")).count() == 0

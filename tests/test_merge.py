@@ -2,7 +2,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from millrace.operators.merge import drop_known, first_per_key, insert_only_merge, keep_listed
+from millrace.operators.merge import drop_known, first_per_key, insert_only_merge, keep_listed, keep_new
 from millrace.operators.pending import distinct_keys
 from millrace.session import stage
 from millrace.sources.tables import append, ensure_table, merge_into
@@ -62,14 +62,23 @@ def test_few_known_keys_are_broadcast_and_wide_rows_not_shuffled(spark, executed
     rows_, known = _hot(spark), spark.range(1, 100).select(F.col("id").alias("k"))
     df = drop_known(rows_, known, ["k"])
     plan = executed(df)
-    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
-    assert df.count() == 60_000 - 33
+    assert "BroadcastHashJoin" in plan and "hashpartitioning(k" not in plan.replace("hashpartitioning(id", "")[: plan.index("BroadcastHashJoin")]
+    assert df.count() == 60_000 - 33 and df.columns == rows_.columns
+
+
+def test_building_a_merge_starts_no_job(spark):
+    rows_, known = _hot(spark), spark.range(1, 100).select(F.col("id").alias("k"))
+    spark.sparkContext.setJobGroup("merge-plan", "merge plan")
+    merge = insert_only_merge(rows_, known.selectExpr("k", "k AS id", "'' AS body"), ["k"], dedupe_by=["id"])
+    assert merge.merged.columns == ["k", "id", "body"]
+    assert list(spark.sparkContext.statusTracker().getJobIdsForGroup("merge-plan")) == []
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
 def test_a_repeated_batch_is_joined_to_its_few_new_keys(spark, conf, executed):
     conf(spark__sql__autoBroadcastJoinThreshold="20KB")
     rows_, known = _hot(spark), spark.range(0, 59_000).select(F.col("id").alias("k"))
-    df = drop_known(rows_, known, ["k"])
+    df = keep_new(rows_, known, ["k"], rows_)
     plan = executed(df)
     assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
     new = sum(1 for i in range(59_000, 60_000) if i % 3 == 1)
@@ -78,10 +87,18 @@ def test_a_repeated_batch_is_joined_to_its_few_new_keys(spark, conf, executed):
     assert df.where("k IS NOT NULL").count() == new
 
 
-def test_known_keys_are_not_joined_when_there_are_none(spark, executed):
-    df = drop_known(_hot(spark), spark.range(0).select(F.col("id").alias("k")), ["k"])
-    assert "Join" not in executed(df)
-    assert df.count() == 60_000
+def test_keys_that_were_not_looked_at_stay_out(spark):
+    rows_ = spark.createDataFrame([("a", 1, 1), ("b", 1, 1), ("late", 1, 1), (None, 1, 1)], DDL)
+    seen = spark.createDataFrame([("a",), ("b",)], "k string")
+    known = spark.createDataFrame([("a", 9, 9)], DDL)
+    assert rows(insert_only_merge(rows_, known, ["k"], batch_keys=seen).inserts) == [("b", 1, 1), (None, 1, 1)]
+
+
+def test_the_first_row_per_key_takes_one_pass(spark, executed):
+    df = first_per_key(spark.range(0, 1000, 1, 4).selectExpr("id % 7 AS k", "id"), ["k"], ["id"])
+    plan = executed(df)
+    assert plan.count("Range (0, 1000") == plan.count("WindowGroupLimit [") // 2 or plan.count("Union") == 0
+    assert "Union" not in plan and df.count() == 7
 
 
 def test_a_small_batch_is_broadcast_to_the_known_keys(spark):

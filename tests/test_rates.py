@@ -6,7 +6,6 @@ from datetime import datetime, timedelta
 from conftest import rows
 from pyspark.sql import functions as F
 
-from millrace.operators import latest
 from millrace.operators.latest import latest_per_key
 from millrace.operators.rates import RATE_LIMITS, rate_audit, trailing_counts
 
@@ -100,9 +99,8 @@ def test_map_side_cut_below_the_threshold(spark):
     assert "Partial" in plan and "WindowGroupLimit" in plan
 
 
-def test_salted_cut_above_the_threshold(spark, conf, monkeypatch):
+def test_salted_cut_above_the_threshold(spark, conf):
     conf(spark__sql__optimizer__windowGroupLimitThreshold="3")
-    monkeypatch.setattr(latest, "SALTS", 4)
     log = _log(500, 60, seed=4)
     df = spark.createDataFrame(log, "id int, k int, ts timestamp_ntz").repartition(6)
     out = latest_per_key(df, ["k"], "ts", "id", count=20, start=5)

@@ -47,14 +47,17 @@ def test_batch_counters_and_outcomes(spark):
         ("part", 200, t[1]),
         ("part", 404, t[0]),
         ("bad", 500, t[0]),
+        ("none", 429, t[0]),
+        ("none", 429, t[1]),
     ]
     df = spark.createDataFrame(
-        [(b, s, None, None, at) for b, s, at in log],
-        "batch_id string, status int, rate_limit_type string, retry_after int, ts timestamp_ntz",
+        [(b, b, s, None, None, at) for b, s, at in log],
+        "batch_id string, id string, status int, rate_limit_type string, retry_after int, ts timestamp_ntz",
     )
-    out = batch_counters(with_action(df), ["batch_id"], "ts")
+    out = batch_counters(with_action(df), ["batch_id"], "ts", ["id"])
     assert rows(out) == [
-        ("bad", t[0], t[0], 0, 0, 1, "FAILED"),
-        ("good", t[0], t[2], 2, 1, 0, "SUCCESS"),
-        ("part", t[0], t[1], 1, 0, 1, "PARTIAL"),
+        ("bad", t[0], t[0], 0, 0, 1, 0, 0, "FAILED"),
+        ("good", t[0], t[2], 2, 1, 0, 0, 0, "SUCCESS"),
+        ("none", t[0], t[1], 0, 2, 0, 0, 1, "FAILED"),
+        ("part", t[0], t[1], 1, 0, 1, 0, 0, "PARTIAL"),
     ]
