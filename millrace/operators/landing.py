@@ -41,7 +41,7 @@ def parse_paged_array(pages: DataFrame, entry: str, body: str = "body") -> DataF
             "_raw_json",
             F.col("_pos").cast("bigint").alias("_pos"),
             F.col("_pos").isNotNull().alias("_is_element"),
-            ~is_object(F.col("_raw_json")).alias("_bad_element"),
+            (~is_object(F.col("_raw_json"))).alias("_bad_element"),
         )
     )
 

@@ -130,6 +130,7 @@ def player_responses(spark: SparkSession, folder: str, run: Run, fetch: str) ->
         "status": F.lit(200),
         "rate_limit_type": F.lit(None).cast("string"),
         "retry_after": F.lit(None).cast("int"),
+        "ts": F.lit("2024-01-01").cast("timestamp"),
     }
     return reduce(partial(DataFrame.unionByName, allowMissingColumns=True), logs).withColumns(constants)
 

@@ -12,18 +12,25 @@ def read_response_log(spark: SparkSession, path: str) -> DataFrame:
     """JSON lines in the form of RESPONSE_LOG, with the body as a string.
 
     A line that is cut off or no JSON is kept in `_corrupt_record`, with NULL in all other columns; see
-    `torn_lines`.
+    `torn_lines`. Columns that the folder's partitions give are taken from there.
     """
-    return spark.read.schema(f"{RESPONSE_LOG}, _corrupt_record STRING").json(path)
+    lines = spark.read.text(path).where(r"value RLIKE '\\S'")
+    schema = f"{RESPONSE_LOG}, _corrupt_record STRING"
+    parsed = F.from_json("value", schema, {"columnNameOfCorruptRecord": "_corrupt_record"})
+    rows = lines.select("*", F.explode(F.array(parsed)).alias("_row"))
+    torn = F.col("_row").isNull() | F.col("_row._corrupt_record").isNotNull()
+    columns = []
+    for name in (c.split()[0] for c in RESPONSE_LOG.split(", ")):
+        found = F.col(name) if name in lines.columns else F.col(f"_row.{name}")
+        columns.append(F.when(~torn, found).alias(name))
+    return rows.select(*columns, F.when(torn, F.col("value")).alias("_corrupt_record"))
 
 
 def torn_lines(log: DataFrame) -> DataFrame:
     """(line): what `read_response_log` could not read. None in a log without `_corrupt_record`."""
     if "_corrupt_record" not in log.columns:
         return log.sparkSession.createDataFrame([], "line string")
-    # With a column of the data: a scan of the corrupt records alone is not allowed.
-    kept = log.select("dataset", "_corrupt_record").where("_corrupt_record IS NOT NULL")
-    return kept.select(F.col("_corrupt_record").alias("line"), "dataset").select("line")
+    return log.where("_corrupt_record IS NOT NULL").select(F.col("_corrupt_record").alias("line"))
 
 
 def read_bodies(spark: SparkSession, path: str) -> DataFrame:

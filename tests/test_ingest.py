@@ -260,7 +260,8 @@ def test_junk_elements_are_rejected_and_never_land(spark, run):
     assert [(o["new_rows"], o["rejected"], o["requests_made"]) for o in outs] == [(1, 3, 2), (0, 3, 2)]
 
 
-def test_only_the_named_fetch_batches_are_read(spark, run, schema):
+def test_only_the_named_fetch_batches_are_read(spark, run, schema, conf):
+    conf(spark__sql__maxMetadataStringLength="2000")
     log = log_of(
         spark,
         *pages([entry("a")], []),
