@@ -13,8 +13,7 @@ more than `UNIT` letters are cut into overlapping units.
    that they do not resemble one another.
 2. A text has one kernel value per landmark, the largest of its units. They are mapped by the inverse
    square root of the landmarks' own kernel matrix (Nystroem).
-3. A linear machine with squared hinge loss separates these vectors, both classes weighing the same;
-   its margin becomes a score from 0 to 1 by a logistic curve fitted on the training rows.
+3. A linear machine with squared hinge loss separates these vectors; its margin becomes a score from 0 to 1 by a logistic curve fitted on the training rows.
 
 The machine is fitted on a bounded sample of labelled rows (`SAMPLE` of each class at most, those
 with the smallest hash of their id); counting their words is a Spark job. Scores are made of whole
@@ -241,29 +240,36 @@ def train(values: np.ndarray, toxic: np.ndarray, strings: list[str], ridge: floa
     to_space = axes / np.sqrt(np.maximum(power, 1e-3))
     x = np.column_stack([values @ to_space, np.ones(len(values))])
     y = np.where(toxic, 1.0, -1.0)
-    weight = np.where(toxic, 0.5 / toxic.sum(), 0.5 / (~toxic).sum())
+    weight = np.full(len(y), 1 / len(y))
     w = np.zeros(x.shape[1])
     penalty = ridge * np.eye(len(w))
     penalty[-1, -1] = 1e-9
-    for _ in range(50):  # Newton steps of the squared hinge loss
+
+    def loss(w: np.ndarray) -> float:
+        return float(weight @ np.maximum(0, 1 - y * (x @ w)) ** 2 + w @ penalty @ w)
+
+    for _ in range(200):  # Newton steps of the squared hinge loss, halved until they lower it
         active = y * (x @ w) < 1
         a, c = x[active], weight[active]
-        new = np.linalg.solve(a.T @ (c[:, None] * a) + penalty, a.T @ (c * y[active]))
-        if np.allclose(new, w, atol=1e-10):
+        step = np.linalg.solve(a.T @ (c[:, None] * a) + penalty, a.T @ (c * y[active])) - w
+        length, before = 1.0, loss(w)
+        while loss(w + length * step) > before and length > 1e-6:
+            length /= 2
+        w = w + length * step
+        if before - loss(w) < 1e-12:
             break
-        w = new
     margin = x @ w
-    slope, shift = _logistic(margin, toxic, 2 * weight / weight.sum())
+    slope, shift = _logistic(margin, toxic)
     return Machine(strings, to_space @ w[:-1], float(w[-1]), slope, shift)
 
 
-def _logistic(margin: np.ndarray, toxic: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
+def _logistic(margin: np.ndarray, toxic: np.ndarray) -> tuple[float, float]:
     """Slope and shift of the logistic curve on margins, by Newton steps with a weak prior."""
     x, theta = np.column_stack([margin, np.ones(len(margin))]), np.array([1.0, 0.0])
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ theta, -50, 50)))
-        slope = x.T @ (weight * (p - toxic)) + 1e-3 * (theta - [1, 0])
-        curve = x.T @ ((weight * p * (1 - p))[:, None] * x) + 1e-3 * np.eye(2)
+        slope = x.T @ (p - toxic) / len(x) + 1e-3 * (theta - [1, 0])
+        curve = x.T @ ((p * (1 - p))[:, None] * x) / len(x) + 1e-3 * np.eye(2)
         theta = theta - np.linalg.solve(curve, slope)
     return max(float(theta[0]), 1e-3), float(theta[1])
 
