@@ -14,6 +14,8 @@ Several known texts with one digest are all reported. Repeated rows are answered
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -80,6 +82,11 @@ KNOWN = [
 COPYRIGHT_LINE = r"(?md)^[ \t#*/;-]*(copyright|\(c\)|©)[^\n]*((19|20)[0-9][0-9]|\(c\)|©)[^\n]*$"
 
 
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """`use(value)`, in which `value` is worked out once, however often it is named."""
+    return F.transform(F.array(value), use)[0]
+
+
 def canonical(text: Column) -> Column:
     """The canonical form; NULL for a NULL text."""
     plain = F.regexp_replace(fold(text), COPYRIGHT_LINE, " ")
@@ -87,19 +94,22 @@ def canonical(text: Column) -> Column:
     plain = F.regexp_replace(plain, " +", " ")
     for phrase, other in PHRASES.items():
         plain = F.replace(plain, F.lit(f" {phrase} "), F.lit(f" {other} " if other else " "))
+    return _once(plain, lambda one: F.trim(_respelled(one)))
+
+
+def _respelled(plain: Column) -> Column:
     spellings = F.create_map(*[F.lit(x) for pair in SPELLINGS.items() for x in pair])
     respelled = F.array_join(
         F.transform(F.split(plain, " "), lambda w: F.coalesce(F.try_element_at(spellings, w), w)), " "
     )
     # One look for any of the spellings spares most texts the rest.
     any_spelling = f" ({'|'.join(SPELLINGS)}) "
-    return F.trim(F.when(plain.rlike(any_spelling), respelled).otherwise(plain))
+    return F.when(plain.rlike(any_spelling), respelled).otherwise(plain)
 
 
 def digest(text: Column) -> Column:
     """SHA-256 of the canonical form in lower-case hex; NULL where that is NULL or blank."""
-    form = canonical(text)
-    return F.when(form != "", F.sha2(form, 256))
+    return _once(canonical(text), lambda form: F.when(form != "", F.sha2(form, 256)))
 
 
 def known_digests(licenses: DataFrame) -> DataFrame:
@@ -136,7 +146,7 @@ def license_report(
     Ids are joined by commas; the text is empty where there are none.
     """
     keyed, keys = with_key(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), "doc_id", "text")
-    report = keyed.select("doc_id", *keys, digest(F.col("text")).alias("digest"))
+    report = stage(keyed.select("doc_id", *keys, digest(F.col("text")).alias("digest")))
     columns = []
     for name, found in (
         ("license_ids", report.join(known_digests(licenses), "digest").select(*keys, "license_id")),
