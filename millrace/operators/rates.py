@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.timing import epoch_micros, floor_div
@@ -20,59 +20,40 @@ def trailing_counts(
 
     `windows` maps the new column to its length in seconds. Equal to a count over a RANGE frame, but
     that frame walks the whole window again for every row and keeps all of a key in one task.
-    Here each row is a +1 step at its time and a -1 step when it leaves the window, and a running
-    sum of the steps gives the count, whatever the window holds. Time is cut into slots as long as
-    the longest window: a row still counted when its slot ends is carried into the next one, where
-    it must end, so (key, slot) groups are complete in themselves and a hot key is spread over its
-    slots. Rows without a time get NULL counts.
+    Rows are counted per key and time first, with partial counts in the map tasks, so rows that share a
+    time are one from there on. For each window, time is cut into slots as long as that window. A count
+    enters the slot of its time, and leaves in the next slot, in which it must end. So a row's window
+    holds what has entered its slot and what is still to leave it: running sums within (key, window, slot)
+    groups, over which a hot key is spread. The sums are joined back to the rows, which are shuffled
+    once; AQE splits a hot key and time there. Rows without a time get NULL counts.
     """
-    names = list(windows)
-    length = {n: windows[n] * 1_000_000 for n in names}
-    width = max(length.values())
     keys = [f"_by_{i}" for i in range(len(by))]
-
     timed = rows.select(
         F.struct(*rows.columns).alias("_row"),
         *[F.col(c).alias(k) for c, k in zip(by, keys)],
         epoch_micros(rows, at).alias("_t"),
     )
-    t, slot = F.col("_t"), floor_div(F.col("_t"), width)
-    next_start = (slot + 1) * width
-
-    def step(slot, at_us, change: dict[str, int], real: bool):
-        return F.struct(
-            slot.alias("_slot"),
-            at_us.alias("_at"),
-            F.lit(real).alias("_real"),
-            *[F.lit(change.get(n, 0)).alias(f"_step_{n}") for n in names],
-        )
+    per_time = timed.where("_t IS NOT NULL").groupBy(*keys, "_t").agg(F.count(F.lit(1)).alias("_n"))
 
-    steps = [F.array(step(slot, t, dict.fromkeys(names, 1), True))]
-    for n in names:
-        leaves = t + (length[n] + 1)
-        leave_here = F.array(step(slot, leaves, {n: -1}, False))
-        carry = F.array(
-            step(slot + 1, next_start, {n: 1}, False), step(slot + 1, leaves, {n: -1}, False)
-        )
-        steps.append(F.when(leaves < next_start, leave_here).otherwise(carry))
+    def step(window: int, slot: Column, at_us: Column, entered: Column, left: Column) -> Column:
+        parts = {"_window": F.lit(window), "_slot": slot, "_at": at_us, "_entered": entered, "_left": left}
+        return F.struct(*[part.alias(name) for name, part in parts.items()])
 
-    untimed = F.array(
-        step(-F.spark_partition_id().cast("bigint") - 1, F.lit(None).cast("bigint"), {}, True)
-    )
-    sweep = timed.select(
-        "_row", *keys, F.inline(F.when(t.isNull(), untimed).otherwise(F.concat(*steps)))
-    ).withColumn("_row", F.when(F.col("_real"), F.col("_row")))
-    so_far = (
-        Window.partitionBy(*keys, "_slot")
-        .orderBy("_at")
-        .rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    counted = sweep.select(
-        "_row",
-        "_real",
-        *[F.when(F.col("_at").isNotNull(), F.sum(f"_step_{n}").over(so_far)).alias(n) for n in names],
+    t, n, none, steps = F.col("_t"), F.col("_n"), F.lit(0).cast("bigint"), []
+    for window, seconds in enumerate(windows.values()):
+        length = seconds * 1_000_000
+        slot = floor_div(t, length)
+        steps += [step(window, slot, t, n, none), step(window, slot + 1, t + (length + 1), none, n)]
+    group = Window.partitionBy(*keys, "_window", "_slot").orderBy("_at")
+    so_far = group.rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    whole = group.rangeBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    held = F.sum(F.col("_entered") - F.col("_left")).over(so_far) + F.sum("_left").over(whole)
+    swept = per_time.select(*keys, F.inline(F.array(*steps))).withColumn("_held", held).where("_entered > 0")
+    counts = swept.groupBy(*keys, F.col("_at").alias("_t")).agg(
+        *[F.max(F.when(F.col("_window") == i, F.col("_held"))).alias(name) for i, name in enumerate(windows)]
     )
-    return counted.where("_real").select("_row.*", *names)
+    same = [timed[k].eqNullSafe(counts[k]) for k in keys] + [timed["_t"] == counts["_t"]]
+    return timed.join(counts, same, "left").select("_row.*", *windows)
 
 
 def rate_audit(

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.operators.pending import distinct_keys, pending_keys
-from millrace.session import stage
+from millrace.session import stage, staging
 
 
 class UnknownKeys(ValueError):
@@ -29,10 +29,11 @@ def require_known(rows: DataFrame, known: DataFrame, on: str, named: int = 10) -
 
     `unknown_keys` has them all, as rows to reject.
     """
-    unknown = stage(unknown_keys(rows, known, on))
-    count = unknown.count()
+    with staging(rows.sparkSession):
+        unknown = stage(unknown_keys(rows, known, on))
+        count = unknown.count()
+        names = [str(r[0]) for r in unknown.orderBy(on).limit(named).collect()] if count else []
     if count:
-        names = [str(r[0]) for r in unknown.orderBy(on).limit(named).collect()]
         more = f" and {count - len(names)} more" if count > len(names) else ""
         raise UnknownKeys(f"{count} unknown {on}: {', '.join(names)}{more}")
 

@@ -31,7 +31,7 @@ from millrace.operators.responses import with_action
 from millrace.operators.runlog import batch_counters
 from millrace.plans import datasets
 from millrace.plans.datasets import Dataset
-from millrace.session import stage
+from millrace.session import stage, staging
 from millrace.sources.landed import torn_lines
 from millrace.sources.tables import ensure_table, insert_counted, merge_into, scan
 
@@ -152,9 +152,10 @@ def ingest(spark: SparkSession, dataset: Dataset, log: DataFrame, run: Run) -> d
     responses = with_action(own_responses(log, dataset, run))
     ensure_table(spark, run.table(dataset.name), dataset.columns)
     land = _land_arrays if dataset.explode else _land_documents
-    actions, counters = land(spark, dataset, responses, run)
     request = ["page" if dataset.keys_from is None else "key", "_fetch"]
-    counted = batch_counters(actions, [], "ts", request).first().asDict()
+    with staging(spark):
+        actions, counters = land(spark, dataset, responses, run)
+        counted = batch_counters(actions, [], "ts", request).first().asDict()
     counters = {**{c: counted[c] for c in COUNTERS}, **counters}
     _append_run_log(spark, dataset.name, run, started, counters, counted["status"])
     return counters

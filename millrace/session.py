@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -17,6 +18,9 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
 }
 
+# Where the innermost `staging` block notes what was staged in it.
+_staged: ContextVar[list[str] | None] = ContextVar("staged", default=None)
+
 
 def build_session(master: str | None = None, app: str = "millrace", **conf: str) -> SparkSession:
     """A session with SETTINGS; on a cluster leave `master` and the sizing to spark-submit."""
@@ -48,18 +52,41 @@ def stage(df: DataFrame) -> DataFrame:
     Used for narrow results (keys, page stops) that later plans join to wide rows. Reading a file
     gives Spark the real size, so it broadcasts the staged side only below
     spark.sql.autoBroadcastJoinThreshold and otherwise sorts and merges, with AQE splitting hot
-    partitions. The files survive lost executors; they lie under one folder per application, which
+    partitions. The files survive lost executors. They are deleted at the end of the `staging` block
+    they are written in; outside of one they lie under one folder per application, which
     `clear_stage` deletes.
     """
     spark = df.sparkSession
     path = f"{_stage_dir(spark)}/{uuid.uuid4().hex}"
+    if (noted := _staged.get()) is not None:
+        noted.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[None]:
+    """Delete at the end, also on failure, what is staged inside by this thread.
+
+    For jobs that write or collect their result inside: frames on what was staged cannot be read later.
+    """
+    outer = _staged.set([])
+    try:
+        yield
+    finally:
+        paths = _staged.get()
+        _staged.reset(outer)
+        for path in paths:
+            _delete(spark, path)
+
+
 def clear_stage(spark: SparkSession) -> None:
     """Delete what this application has staged. Frames that were built on it cannot be read again."""
-    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_stage_dir(spark))
+    _delete(spark, _stage_dir(spark))
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 

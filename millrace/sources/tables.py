@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.operators.merge import insert_only_merge
+from millrace.session import staging
 
 
 def ensure_schema(spark: SparkSession, name: str, location: str | None = None) -> None:
@@ -64,11 +65,11 @@ def merge_into(
     at a time merge into a table. A run that died may be repeated, as landed keys are skipped.
     """
     target = scan(source.sparkSession, table)
-    merge = insert_only_merge(source, target, on, dedupe_by, reject_null_keys, batch_keys)
-    inserts = merge.inserts
-    if rebalance_by:
-        inserts = inserts.hint("rebalance", *rebalance_by)
-    return insert_counted(inserts, table)
+    with staging(source.sparkSession):
+        inserts = insert_only_merge(source, target, on, dedupe_by, reject_null_keys, batch_keys).inserts
+        if rebalance_by:
+            inserts = inserts.hint("rebalance", *rebalance_by)
+        return insert_counted(inserts, table)
 
 
 def insert_counted(rows: DataFrame, table: str) -> int:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from millrace.schemas import RESPONSE_LOG
+from millrace.session import staging
 from millrace.sources.tables import merge_into
 
 
@@ -32,7 +33,8 @@ def merge_stream(
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
 
     def merge(batch: DataFrame, _: int) -> None:
-        merge_into(land(batch), table, on, reject_null_keys=reject_null_keys)
+        with staging(spark):
+            merge_into(land(batch), table, on, reject_null_keys=reject_null_keys)
 
     return (
         reader.json(landing)

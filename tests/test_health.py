@@ -5,7 +5,7 @@ import pytest
 from conftest import rows
 
 from millrace.plans import health
-from millrace.session import clear_stage, scratch_schema, shared_dir, stage
+from millrace.session import clear_stage, scratch_schema, shared_dir, stage, staging
 
 
 def test_declare_and_check_layers(spark):
@@ -54,6 +54,20 @@ def test_staged_files_can_be_deleted(spark):
     assert stage(spark.range(2)).count() == 2
 
 
+def test_what_a_job_stages_is_deleted_when_it_ends(spark):
+    def place(df):
+        return Path(unquote(urlparse(df.inputFiles()[0]).path)).parent
+
+    before = stage(spark.range(5))
+    with pytest.raises(KeyError), staging(spark):
+        outer = place(stage(spark.range(4)))
+        with staging(spark):
+            inner = place(stage(spark.range(3)))
+        assert outer.exists() and not inner.exists()
+        raise KeyError
+    assert not outer.exists() and before.count() == 5
+
+
 def test_scratch_schema_is_dropped(spark):
     with scratch_schema(spark) as name:
         spark.range(3).write.saveAsTable(f"{name}.t")

@@ -62,13 +62,35 @@ def test_limits_of_the_source(spark):
     assert out[24].in_120s == 25 and not out[24].over_120s
 
 
-def test_a_hot_key_is_spread_over_time_slots(spark):
+def test_a_hot_key_is_spread_over_slots_of_each_window(spark):
     df = spark.range(0, 1000).select(
         (F.col("id") % 2).alias("k"), F.timestamp_seconds(F.col("id") * 60).alias("ts")
     )
-    plan = trailing_counts(df, ["k"], "ts", {"n": 120})._jdf.queryExecution().executedPlan().toString()
-    exchange = next(line for line in plan.splitlines() if "Exchange hashpartitioning" in line)
-    assert "_by_0" in exchange and "_slot" in exchange
+    plan = trailing_counts(df, ["k"], "ts", {"a": 120, "b": 3600})._jdf.queryExecution().executedPlan().toString()
+    swept = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line and "_slot" in line]
+    assert len(swept) == 1 and "_by_0" in swept[0] and "_window" in swept[0]
+
+
+def test_a_hot_key_in_one_slot_is_counted_before_it_is_swept(spark):
+    """20,000 rows of one key and three times: what the running sums read does not grow with the rows."""
+    df = spark.range(0, 20_000, 1, 4).select(
+        F.lit("hot").alias("k"), F.timestamp_seconds(F.col("id") % 3).alias("ts")
+    )
+    counted = trailing_counts(df, ["k"], "ts", {"a": 1, "b": 60})
+    got = counted.groupBy("ts", "a", "b").count().orderBy("ts").collect()
+    assert [(r.a, r.b, r["count"]) for r in got] == [
+        (6667, 6667, 6667), (13334, 13334, 6667), (13333, 20000, 6666)
+    ]
+    plan = counted._jdf.queryExecution().executedPlan().toString()
+    below = plan[plan.index("Window ["):]
+    assert below.index("_slot") < below.index("partial_count")
+
+
+def test_clashing_names_and_no_rows(spark):
+    log = [(1, 1, START, 5), (2, 1, START, 6)]
+    df = spark.createDataFrame(log, "id int, _by_0 int, _t timestamp_ntz, _slot int")
+    assert {r.id: r.n for r in trailing_counts(df, ["_by_0"], "_t", {"n": 5}).collect()} == {1: 2, 2: 2}
+    assert trailing_counts(df.limit(0), ["_by_0"], "_t", {"n": 5}).count() == 0
 
 
 def _brute_latest(log, start, count):
