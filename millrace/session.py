@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
 
@@ -57,13 +57,20 @@ def stage(df: DataFrame) -> DataFrame:
     `clear_stage` deletes.
     """
     spark = df.sparkSession
-    path = f"{_stage_dir(spark)}/{uuid.uuid4().hex}"
-    if (noted := _staged.get()) is not None:
-        noted.append(path)
+    path = _new_path(spark)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def stage_alone(spark: SparkSession, build: Callable[[], DataFrame]) -> DataFrame:
+    """`stage(build())`, after which nothing else is left of what `build` staged on its way."""
+    path = _new_path(spark)
+    with staging(spark):
+        df = build()
+        df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 @contextmanager
 def staging(spark: SparkSession) -> Iterator[None]:
     """Delete at the end, also on failure, what is staged inside by this thread.
@@ -90,6 +97,13 @@ def _delete(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def _new_path(spark: SparkSession) -> str:
+    path = f"{_stage_dir(spark)}/{uuid.uuid4().hex}"
+    if (noted := _staged.get()) is not None:
+        noted.append(path)
+    return path
+
+
 def _stage_dir(spark: SparkSession) -> str:
     return f"{shared_dir(spark)}/millrace-stage/{spark.sparkContext.applicationId}"
 

@@ -5,7 +5,7 @@ import pytest
 from conftest import rows
 
 from millrace.plans import health
-from millrace.session import clear_stage, scratch_schema, shared_dir, stage, staging
+from millrace.session import clear_stage, scratch_schema, shared_dir, stage, stage_alone, staging
 
 
 def test_declare_and_check_layers(spark):
@@ -68,6 +68,18 @@ def test_what_a_job_stages_is_deleted_when_it_ends(spark):
     assert not outer.exists() and before.count() == 5
 
 
+def test_a_result_outlives_what_it_was_built_from(spark):
+    on_the_way = []
+
+    def build():
+        on_the_way.append(stage(spark.range(6)))
+        return on_the_way[0].where("id > 3")
+
+    result = stage_alone(spark, build)
+    assert rows(result) == [(4,), (5,)]
+    assert not Path(unquote(urlparse(on_the_way[0].inputFiles()[0]).path)).exists()
+
+
 def test_scratch_schema_is_dropped(spark):
     with scratch_schema(spark) as name:
         spark.range(3).write.saveAsTable(f"{name}.t")
