@@ -7,11 +7,13 @@ empty tables and further columns are treated as the operator of each stage says.
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 
 from millrace.llm import decontaminate, language, line_dedup, sentencepiece_bpe, simhash
 from millrace.llm.queries import tokenizer_path
-from millrace.session import stage
+from millrace.session import stage_alone
 from millrace.sources.landed import read_table
 
 # A text is rejected if no language's prototype comes nearer than this cosine.
@@ -59,5 +61,5 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     for _, step in STAGES:
-        docs = stage(step(spark, docs, sf_dir))
+        docs = stage_alone(spark, partial(step, spark, docs, sf_dir))
     return docs
