@@ -50,6 +50,7 @@ def test_stages_by_hand(spark, con, texts):
         for i, t in clean.items()
         for ids in [sp.encode(t)]
     }
+    assert sorted(corpus_pipeline.run(spark, FOLDER).collect()) == sorted(frames[5].collect())
 
 
 def test_edges_go_through_all_stages(spark, edges, empty, tmp_path):
