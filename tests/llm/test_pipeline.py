@@ -53,6 +53,13 @@ def test_stages_by_hand(spark, con, texts):
     assert sorted(corpus_pipeline.run(spark, FOLDER).collect()) == sorted(frames[5].collect())
 
 
+def test_short_texts_of_a_language_stay(spark):
+    folder = "/root/testdata/sf0.1"
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    kept = {r.doc_id for r in corpus_pipeline.language_id(spark, docs, folder).select("doc_id").collect()}
+    assert kept == {r.doc_id for r in docs.collect() if any(c.isalpha() for c in r.text or "")}
+
+
 def test_edges_go_through_all_stages(spark, edges, empty, tmp_path):
     items = spark.createDataFrame([(1, "no such words")], "item_id long, text string")
     items.write.parquet(f"{tmp_path}/benchmark.parquet")
