@@ -6,7 +6,13 @@ ways. Its SHA-256 is joined to the digests of known texts, so that a text is nev
 text. `scan` looks up whole texts, and `scan_lines` each line as a text of its own, as short notices
 stand on a line among others. DataFrame functions only.
 
-The known texts are a frame (license_id, text), which the join broadcasts if its real size is small.
+The digest that a report names is that of the canonical form. Texts are looked up by a wider form, which
+on top of that has no holder's lines without a year, and more words in one spelling. A holder's line
+starts with "Copyright", "(c)" or "©", and names somebody: up to 64 words with capitals, in brackets,
+addresses, or words as "of" and "and". Lines of running text stay.
+
+The known texts are a frame (license_id, text), which the join broadcasts if its real size is small:
+`KNOWN` and the whole texts in the folder `license_texts`, with and without titles and appendices.
 
 A NULL or blank text, or one that is blank in its canonical form, has no digest and matches nothing.
 Several known texts with one digest are all reported. Repeated rows are answered alike.
@@ -15,6 +21,7 @@ Several known texts with one digest are all reported. Repeated rows are answered
 from __future__ import annotations
 
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -81,6 +88,42 @@ KNOWN = [
 
 COPYRIGHT_LINE = r"(?md)^[ \t#*/;-]*(copyright|\(c\)|©)[^\n]*((19|20)[0-9][0-9]|\(c\)|©)[^\n]*$"
 
+# Further spellings, of which the lookup knows on top.
+_IZE = """apolog author capital categor central character critic custom emphas final formal general harmon
+    initial legal local material maxim minim modern neutral normal optim organ parallel penal real recogn
+    serial special standard summar synchron util visual""".split()
+_OR = "behavio colo disfavo endeavo favo flavo harbo hono labo neighbo".split()
+_ONE_L = "cance channe counse labe mode signa trave".split()
+WIDER = {
+    **{f"{a}is{b}": f"{a}iz{b}" for a in _IZE for b in ("e", "ed", "es", "er", "ers", "ing", "ation", "ations")},
+    **{f"{a}ur{b}": f"{a}r{b}" for a in _OR for b in ("", "s", "ed", "ing", "able", "ably", "ite", "ites")},
+    **{f"{a}ll{b}": f"{a}l{b}" for a in _ONE_L for b in ("ed", "ing", "er", "ers")},
+    "acknowledgements": "acknowledgments", "analogues": "analogs", "analysed": "analyzed", "analysing": "analyzing",
+    "artefacts": "artifacts", "calibre": "caliber", "catalogues": "catalogs", "catalogued": "cataloged",
+    "centres": "centers", "defence": "defense", "defences": "defenses", "fulfilment": "fulfillment",
+    "fulfils": "fulfills", "https": "http", "judgements": "judgments", "licencing": "licensing",
+    "licencee": "licensee", "licencees": "licensees", "licencor": "licensor", "offences": "offenses",
+    "practised": "practiced", "practising": "practicing", "programmes": "programs", "sublicence": "sublicense",
+    "sublicences": "sublicenses", "sublicenced": "sublicensed", "wilfully": "willfully",
+}
+HOLDER_LINE = (
+    r"(?md)^[ \t#*/;-]*(?:(?i:copyright)(?=[ \t:,(©])|\([cC]\)|©)[ \t:,]*(?:\([cC]\)|©)?[ \t:,]*"
+    r"(?!(?i:owners?|holders?|notices?|laws?|licen[sc]e|and|or|in|to|interests?|statements?|acts?|treaty|treaties"
+    r"|infringement|protection|rights?|permission)\b)"
+    r"(?:(?:\[[^\]\n]*\]|<[^>\n]*>|\{[^}\n]*\}|[^\s\p{Ll}]\S*|[^\s@:/.]*[@:/.]\w\S*"
+    r"|(?:all|and|authors?|by|contributors?|d[aeiou]|der|developers|et|its|la|members|of|others|project|reserved"
+    r"|rights|team|the|v[ao]n)(?![\w]))[.,;]*(?:[ \t]+|(?=\r?$))){1,64}+\r?$"
+)
+TEXTS = Path(__file__).resolve().parent / "license_texts"
+TITLES = {
+    "MIT": ["The MIT License", "The MIT License (MIT)", "MIT License (MIT)"],
+    "ISC": ["The ISC License", "ISC License (ISC)"],
+    "BSD-2-Clause": ["BSD 2-Clause License", "The BSD 2-Clause License", 'BSD 2-Clause "Simplified" License'],
+    "BSD-3-Clause": ["BSD 3-Clause License", "The BSD 3-Clause License", 'BSD 3-Clause "New" or "Revised" License'],
+    "Unlicense": ["The Unlicense", "Unlicense"],
+}
+LAST_LINE = "END OF TERMS AND CONDITIONS"  # of the terms; an appendix may follow
+
 
 def _once(value: Column, use: Callable[[Column], Column]) -> Column:
     """`use(value)`, in which `value` is worked out once, however often it is named."""
@@ -97,29 +140,64 @@ def canonical(text: Column) -> Column:
     return _once(plain, lambda one: F.trim(_respelled(one)))
 
 
-def _respelled(plain: Column) -> Column:
-    spellings = F.create_map(*[F.lit(x) for pair in SPELLINGS.items() for x in pair])
+def _respelled(plain: Column, spelled: dict[str, str] = SPELLINGS) -> Column:
+    spellings = F.create_map(*[F.lit(x) for pair in spelled.items() for x in pair])
     respelled = F.array_join(
         F.transform(F.split(plain, " "), lambda w: F.coalesce(F.try_element_at(spellings, w), w)), " "
     )
     # One look for any of the spellings spares most texts the rest.
-    any_spelling = f" ({'|'.join(SPELLINGS)}) "
+    any_spelling = f" {_any_of(list(spelled))} "
     return F.when(plain.rlike(any_spelling), respelled).otherwise(plain)
 
 
+def _any_of(words: list[str]) -> str:
+    """A pattern of any of the words, by their first letters, so that few are tried at a place."""
+    tails: dict[str, list[str]] = {}
+    for word in words:
+        tails.setdefault(word[:1], []).append(word[1:])
+    ends = tails.pop("", None) is not None
+    whole = "|".join(head + _any_of(rest) for head, rest in tails.items())
+    return f"(?:{whole}){'?' if ends else ''}" if whole else ""
+
+
+def _hashed(form: Column) -> Column:
+    return F.when(form != "", F.sha2(form, 256))
+
+
 def digest(text: Column) -> Column:
     """SHA-256 of the canonical form in lower-case hex; NULL where that is NULL or blank."""
-    return _once(canonical(text), lambda form: F.when(form != "", F.sha2(form, 256)))
+    return _once(canonical(text), _hashed)
+
+
+def digests(text: Column) -> Column:
+    """A struct of `digest`, and `wide`, the digest of the wider form, by which texts are looked up."""
+
+    def both(form: Column) -> Column:
+        held = F.when(text.rlike(HOLDER_LINE), canonical(F.regexp_replace(text, HOLDER_LINE, " "))).otherwise(form)
+        spaced = F.concat(F.lit(" "), held, F.lit(" "))
+        wide = _once(spaced, lambda one: F.trim(_respelled(one, WIDER)))
+        return F.struct(_hashed(form).alias("digest"), _once(wide, _hashed).alias("wide"))
+
+    return _once(canonical(text), both)
 
 
 def known_digests(licenses: DataFrame) -> DataFrame:
-    """(digest, license_id), distinct, of known texts (license_id, text)."""
-    found = licenses.select(digest(F.col("text")).alias("digest"), "license_id")
-    return stage(found.where("digest IS NOT NULL").distinct())
+    """(wide, license_id), distinct, of known texts (license_id, text)."""
+    found = licenses.select(digests(F.col("text"))["wide"].alias("wide"), "license_id")
+    return stage(found.where("wide IS NOT NULL").distinct())
+
+
+def known_texts() -> list[tuple[str, str]]:
+    """(license_id, text): `KNOWN` and the shipped texts, whole, without appendix, and under titles."""
+    # A file is named by its licence, and by its wording where there are several.
+    plain = [(path.stem.removesuffix(".regents"), path.read_text("utf-8")) for path in sorted(TEXTS.glob("*.txt"))]
+    plain += [(i, t[: t.index(LAST_LINE)] + end) for i, t in plain if LAST_LINE in t for end in ("", LAST_LINE)]
+    plain += [("MIT", _MIT), ("ISC", _ISC)]
+    return KNOWN + plain + [(i, f"{title}\n\n{t}") for i, t in plain for title in TITLES.get(i, [])]
 
 
 def known_licenses(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(KNOWN, "license_id string, text string")
+    return spark.createDataFrame(known_texts(), "license_id string, text string")
 
 
 def scan(docs: DataFrame, licenses: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -134,8 +212,8 @@ def scan_lines(docs: DataFrame, licenses: DataFrame, text: str = "text", doc_id:
 
 def _lookup(docs: DataFrame, texts: Column, licenses: DataFrame, text: str, doc_id: str) -> DataFrame:
     keys = [c.alias(n) for c, n in zip(row_key(doc_id, text), ("k1", "k2"))]
-    digests = docs.select(*keys, F.explode(texts).alias("one")).select("k1", "k2", digest(F.col("one")).alias("digest"))
-    return digests.join(known_digests(licenses), "digest").select("k1", "k2", "license_id").distinct()
+    found = docs.select(*keys, F.explode(texts).alias("one")).select("k1", "k2", digests(F.col("one"))["wide"].alias("wide"))
+    return found.join(known_digests(licenses), "wide").select("k1", "k2", "license_id").distinct()
 
 
 def license_report(
@@ -146,10 +224,10 @@ def license_report(
     Ids are joined by commas; the text is empty where there are none.
     """
     keyed, keys = with_key(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), "doc_id", "text")
-    report = stage(keyed.select("doc_id", *keys, digest(F.col("text")).alias("digest")))
+    report = stage(keyed.select("doc_id", *keys, digests(F.col("text")).alias("_")).select("doc_id", *keys, "_.*"))
     columns = []
     for name, found in (
-        ("license_ids", report.join(known_digests(licenses), "digest").select(*keys, "license_id")),
+        ("license_ids", report.join(known_digests(licenses), "wide").select(*keys, "license_id")),
         ("notice_ids", scan_lines(docs, licenses, text, doc_id).toDF(*keys, "license_id")),
     ):
         ids = found.groupBy(*keys).agg(F.array_join(F.array_sort(F.collect_set("license_id")), ",").alias(name))

@@ -1,4 +1,4 @@
-from millrace.llm.licenses import KNOWN, digest, known_licenses, license_report, scan, scan_lines
+from millrace.llm.licenses import KNOWN, TEXTS, digest, known_licenses, license_report, scan, scan_lines
 from pyspark.sql import functions as F
 
 MIT = KNOWN[0][1]
@@ -20,6 +20,37 @@ def test_spellings_of_one_text(spark):
     assert got == {0: "MIT", 1: "MIT", 2: "MIT", 3: "MIT", 4: "MIT", 5: "MIT", 6: "", 7: ""}
 
 
+def test_whole_texts_of_common_licenses(spark):
+    texts = {p.stem.removesuffix(".regents"): p.read_text() for p in sorted(TEXTS.glob("*.txt"))}
+    assert {"Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "MPL-2.0",
+            "CC0-1.0", "Unlicense"} <= set(texts)
+    rows = [(i, t) for i, t in texts.items()] + [(i, " ".join(t.upper().split())) for i, t in texts.items() if "Copyright" not in t]
+    rows += [("BSD-2-Clause", "BSD 2-Clause License\n\nCopyright Jane Doe\n\n" + texts["BSD-2-Clause"])]
+    rows += [("Apache-2.0", texts["Apache-2.0"].partition("END OF TERMS")[0].replace("http:", "https:"))]
+    df = spark.createDataFrame(rows, "doc_id string, text string")
+    got = license_report(df, known_licenses(spark)).collect()
+    assert len(got) == len(rows) and [r for r in got if r.license_ids != r.doc_id] == []
+
+
+def test_holders_without_a_year(spark):
+    lines = ["Copyright Jane Doe", "© Jane Doe", "(c) Jane Doe", "Copyright [yyyy] [name]", "# Copyright: The X Authors, x.org.",
+             "Copyright (C) by Jane Doe <jane@x.org>\r", "Copyright <YEAR> <COPYRIGHT HOLDER>", "©山田太郎"]
+    text = ["COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM", "copyright notice and this permission notice shall be", "(c) You must retain it",
+            "Copyright Law", "Copyrights OF Others"]
+    rows = [(x, f"{x}\n\n{MIT}") for x in lines + text] + [("long", "Copyright " + "A " * 50_000 + "\n" + MIT)]
+    df = spark.createDataFrame(rows, "doc_id string, text string")
+    got = {r.doc_id for r in license_report(df, known_licenses(spark)).where("license_ids = 'MIT'").collect()}
+    assert got == set(lines)
+
+
+def test_wider_spellings(spark):
+    a = "We organise, optimise: favourite fulfilment of labelling"
+    b = "we organize, optimize favorite fulfillment of labeling"
+    df = spark.createDataFrame([(1, a), (2, b), (3, b + " x")], "doc_id long, text string")
+    known = spark.createDataFrame([("L", a)], "license_id string, text string")
+    assert {r.doc_id for r in license_report(df, known).where("license_ids = 'L'").collect()} == {1, 2}
+
+
 def test_equivalent_words(spark):
     df = spark.createDataFrame([("The licence, whilst fulfil!", "the LICENSE while fulfill"), ("a b", "a c")], "a string, b string")
     assert [r.same for r in df.select((digest(F.col("a")) == digest(F.col("b"))).alias("same")).collect()] == [True, False]
