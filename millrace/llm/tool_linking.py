@@ -18,7 +18,10 @@ Any other text is the message's content as it stands.
 3. Arguments are checked against their tool's schema: an object with the required keys, with values
    of the types and enumerations that its properties name, and without other keys where
    additionalProperties is false.
-4. A message is written as canonical JSON: sorted keys, no spaces, no NULLs.
+4. A message is written as canonical JSON: sorted keys, no spaces, no NULLs beside them. All else that it
+   says is written too: tools, `after`, and further keys of messages, calls and their functions, those with
+   an underscore before that share a name with one of ours. Arguments that are no JSON are a string. A text
+   with a repeated key within is also written whole, as `_text`.
 
 The result has a row for each message, so no conversation is gathered in one task, however long. A
 NULL conversation or id links nothing. NULL text has no content. Repeated rows are answered alike.
@@ -42,6 +45,7 @@ SCHEMA = (
     "additionalProperties BOOLEAN"
 )
 CALL = ["conv_id", "id"]
+ENTRIES = "map<string,variant>"
 
 
 def parse(messages: DataFrame) -> DataFrame:
@@ -55,17 +59,55 @@ def parse(messages: DataFrame) -> DataFrame:
 
 
 def calls_of(tool_messages: DataFrame) -> DataFrame:
-    """(mid, conv_id, turn, nth, id, name, arguments, after): one row per call."""
-    calls = F.posexplode("said.tool_calls").alias("nth", "call")
+    """(mid, conv_id, turn, nth, id, name, arguments, after, more): one row per call.
+
+    `more` are its other keys as (key, json).
+    """
+    raw = F.from_json("text", "tool_calls array<map<string,variant>>")["tool_calls"]
+    calls = F.posexplode(F.arrays_zip(F.col("said.tool_calls").alias("call"), raw.alias("raw"))).alias("nth", "_")
     rows = tool_messages.where("role = 'assistant'").select("mid", "conv_id", "turn", calls)
+    rows = rows.select("mid", "conv_id", "turn", "nth", "_.call", "_.raw")
+    function = F.try_variant_get(F.try_element_at("raw", F.lit("function")), "$", ENTRIES)
+    rest = F.map_filter(function, lambda k, v: ~k.isin("name", "arguments"))
+    spare = [F.lit("id"), F.lit("function")]
+    spare += [F.when(F.col(f"call.function.{k}").isNull(), k) for k in ("name", "arguments")]
+    more = _others(F.col("raw"), spare, ["arguments", "errors", "linked", "name"])
+    rest = F.when(F.size(rest) > 0, F.array(F.struct(F.lit("function").alias("key"), F.to_json(rest).alias("json"))))
     return rows.select(
         "mid", "conv_id", "turn", "nth", F.col("call.id").alias("id"),
         F.coalesce("call.function.name", "call.name").alias("name"),
         F.coalesce("call.function.arguments", "call.arguments").alias("arguments"),
         F.col("call.after").alias("after"),
+        F.concat(more, F.coalesce(rest, _none())).alias("more"),
     )
 
 
+def _others(entries: Column, without: list[Column], ours: list[str]) -> Column:
+    """(key, json) of the entries but those named in `without` and NULLs; `_` is put before `ours`."""
+    kept = F.filter(F.map_entries(entries), lambda e: ~F.array_contains(F.array_compact(F.array(*without)), e["key"]))
+    kept = F.filter(kept, lambda e: ~F.is_variant_null(e["value"]))
+    key = lambda e: F.when(e["key"].isin(ours), F.concat(F.lit("_"), e["key"])).otherwise(e["key"])
+    return F.coalesce(F.transform(kept, lambda e: F.struct(key(e).alias("key"), F.to_json(e["value"]).alias("json"))), _none())
+
+
+def _none() -> Column:
+    return F.from_json(F.lit("[]"), "array<struct<key: string, json: string>>")
+
+
+def _quoted(text: Column) -> Column:
+    """The text as a JSON string."""
+    whole = F.to_json(F.struct(text.alias("t")))
+    return F.when(text.isNotNull(), F.substr(whole, F.lit(6), F.length(whole) - 6))
+
+
+def _object(more: Column, **ours: Column) -> Column:
+    """An object of the entries `more` and of `ours`, values being JSON; those that are NULL are left out."""
+    own = F.array(*[F.struct(F.lit(k).alias("key"), v.alias("json")) for k, v in ours.items()])
+    entries = F.array_sort(F.filter(F.concat(more, own), lambda e: e["json"].isNotNull()))
+    written = F.transform(entries, lambda e: F.concat(_quoted(e["key"]), F.lit(":"), e["json"]))
+    return F.concat(F.lit("{"), F.array_join(written, ","), F.lit("}"))
+
+
 def link(tool_messages: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Calls with `linked`, `duplicate` and the result's `result_mid`; results with `call_mid`."""
     calls = calls_of(tool_messages)
@@ -200,22 +242,28 @@ def format_chat(messages: DataFrame) -> DataFrame:
     calls, results = link(tools)
     checked = stage(check_arguments(calls, schemas_of(tools)))
     results = stage(results)
-    call = F.struct(
-        F.try_parse_json("arguments").alias("arguments"), F.array_sort("errors").alias("errors"),
-        "id", F.col("linked").alias("linked"), "name",
+    call = _object(
+        F.col("more"),
+        arguments=F.coalesce(F.to_json(F.try_parse_json("arguments")), _quoted(F.col("arguments"))),
+        errors=F.to_json(F.array_sort("errors")), id=_quoted(F.col("id")),
+        linked=F.col("linked").cast("string"),
+        name=_quoted(F.col("name")),
     )
     listed = checked.groupBy("mid").agg(
-        F.transform(F.sort_array(F.collect_list(F.struct("nth", F.to_json(call).alias("json")))), lambda c: c["json"]).alias("calls"),
+        F.transform(F.sort_array(F.collect_list(F.struct("nth", call.alias("json")))), lambda c: c["json"]).alias("calls"),
         F.count_if("linked").alias("n_linked"),
         F.count_if(F.size("errors") > 0).alias("n_invalid"),
     )
     known = tools.join(listed, "mid", "left").join(results, "mid", "left").join(order(tools, checked, results), "mid", "left")
-    body = F.struct(
-        F.col("said.content").alias("content"), F.col("role"),
-        F.col("said.tool_call_id").alias("tool_call_id"),
+    entries = F.from_json("text", ENTRIES)
+    spare = [F.lit("content"), F.lit("tool_call_id"), F.when((F.col("role") == "assistant"), F.lit("tool_calls"))]
+    written = _object(
+        _others(entries, spare, ["calls", "role", "_text"]),
+        content=_quoted(F.col("said.content")), role=_quoted(F.col("role")),
+        tool_call_id=_quoted(F.col("said.tool_call_id")),
+        calls=F.when(F.size("calls") > 0, F.concat(F.lit("["), F.array_join("calls", ","), F.lit("]"))),
+        _text=F.when(F.try_parse_json("text").isNull(), _quoted(F.col("text"))),
     )
-    head = F.to_json(body)
-    joined = F.concat(F.lit('{"calls":['), F.array_join("calls", ","), F.lit("],"), F.substr(head, F.lit(2)))
     known = known.select(
         "conv_id", "turn", "role", "text",
         F.coalesce("order_turn", "turn").alias("order_turn"),
@@ -225,7 +273,7 @@ def format_chat(messages: DataFrame) -> DataFrame:
         F.coalesce("n_invalid", F.lit(0)).cast("long").alias("n_invalid"),
         F.when(F.col("role") == "tool", F.col("call_mid").isNotNull()).alias("answers"),
         F.coalesce("cyclic", F.lit(False)).alias("cyclic"),
-        F.when(F.size("calls") > 0, joined).otherwise(head).alias("json"),
+        written.alias("json"),
     )
     same = ["conv_id", "turn", "role", "text"]
     told = rows.where("said IS NOT NULL").select(*[F.col(c).alias(f"_{c}") for c in same])

@@ -82,3 +82,31 @@ def test_cycles_duplicates_and_edges(spark):
     assert one[3, 0].json == '{"role":"user"}' and one[None, None].json == "{}"
     assert one[3, 1].json == '{"content":"{broken","role":"user"}'
     assert one[4, 0].json == '{"role":"assistant"}'
+
+
+def test_nothing_that_is_said_is_lost(spark):
+    calls = [
+        {"type": "function", "id": "c1", "after": ["c0"], "linked": 1, "name": "other",
+         "function": {"name": "add", "arguments": "{\"a\": 1,", "strict": True}},
+        {"id": "c2", "name": "add", "arguments": {"b": 2, "a": [None]}},
+    ]
+    messages = [
+        (1, 0, "system", {**TOOLS, "name": "x", "content": "c", "role": "me", "n": None}),
+        (1, 1, "assistant", {"z": {"k": [1, {"b": 1, "a": None}]}, "tool_calls": calls, "calls": 3}),
+        (1, 2, "tool", {"tool_call_id": "c1", "name": "add", 'is "error"': False}),
+        (1, 3, "user", {"tool_calls": calls, "tools": []}),
+        (1, 4, "assistant", '{"tools": [], "x": {"a": 1, "a": 2}}'),
+    ]
+    got = chat(spark, *messages)
+    wrote = [json.loads(r.json) for r in got]
+    assert all(r.json == json.dumps(w, separators=(",", ":"), sort_keys=True) for r, w in zip(got, wrote))
+    assert wrote[0] == {**TOOLS, "name": "x", "content": "c", "role": "system", "_role": "me"}
+    errors = ["missing b", "no object"]
+    one, two = wrote[1].pop("calls")
+    assert wrote[1] == {"_calls": 3, "role": "assistant", "z": {"k": [1, {"b": 1, "a": None}]}}
+    assert one == {"after": ["c0"], "_linked": 1, "_name": "other", "arguments": "{\"a\": 1,", "errors": errors[1:],
+                   "function": {"strict": True}, "id": "c1", "linked": True, "name": "add", "type": "function"}
+    assert (two["arguments"], two["id"], two["name"]) == ({"a": [None], "b": 2}, "c2", "add")
+    assert wrote[2] == {"tool_call_id": "c1", "name": "add", 'is "error"': False, "role": "tool"}
+    assert wrote[3] == {"role": "user", "tool_calls": calls, "tools": []}
+    assert wrote[4]["_text"] == messages[4][3]
