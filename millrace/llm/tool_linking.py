@@ -15,9 +15,9 @@ Any other text is the message's content as it stands.
 2. Messages are ordered topologically: a result follows its call, and a call the results it needs.
    A message keeps its turn unless it must move behind another; (order_turn, order_step) sorts a
    conversation. Messages on a cycle keep their turn and are marked.
-3. Arguments are checked against their tool's schema: an object with the required keys, with values
-   of the types and enumerations that its properties name, and without other keys where
-   additionalProperties is false.
+3. Arguments are an object that is checked against their tool's schema at all depths, in rounds, one for
+   each level: the keywords in `KEYWORDS`. Keywords that only describe (`NOTES`) say nothing; any other, as
+   anyOf, $ref or pattern, is an error "unsupported", so that no call passes for what was not looked at.
 4. A message is written as canonical JSON: sorted keys, no spaces, no NULLs beside them. All else that it
    says is written too: tools, `after`, and further keys of messages, calls and their functions, those with
    an underscore before that share a name with one of ours. Arguments that are no JSON are a string. A text
@@ -40,10 +40,22 @@ MESSAGE = (
     "tool_calls ARRAY<STRUCT<id: STRING, name: STRING, arguments: STRING, after: ARRAY<STRING>, "
     "function: STRUCT<name: STRING, arguments: STRING>>>"
 )
-SCHEMA = (
-    "properties MAP<STRING, STRUCT<type: STRING, enum: ARRAY<STRING>>>, required ARRAY<STRING>, "
-    "additionalProperties BOOLEAN"
-)
+TYPES = ["string", "integer", "number", "boolean", "object", "array", "null"]
+SIZES = [
+    ("minLength", "maxLength", lambda v: F.length(F.try_variant_get(v, "$", "string")), "STRING"),
+    ("minItems", "maxItems", lambda v: F.size(F.try_variant_get(v, "$", "array<variant>")), "ARRAY"),
+    ("minProperties", "maxProperties", lambda v: F.size(F.try_variant_get(v, "$", ENTRIES)), "OBJECT"),
+]
+BOUNDS = [
+    ("minimum", lambda a, b: a < b), ("maximum", lambda a, b: a > b),
+    ("exclusiveMinimum", lambda a, b: a <= b), ("exclusiveMaximum", lambda a, b: a >= b),
+]
+KEYWORDS = ["type", "enum", "const", "required", "properties", "additionalProperties", "items"]
+KEYWORDS += [k for k, _ in BOUNDS] + [k for low, high, _, _ in SIZES for k in (low, high)]
+NOTES = [
+    "$comment", "$defs", "$id", "$schema", "default", "definitions", "deprecated", "description", "example",
+    "examples", "format", "readOnly", "strict", "title", "writeOnly",
+]
 CALL = ["conv_id", "id"]
 ENTRIES = "map<string,variant>"
 
@@ -138,14 +150,18 @@ def schemas_of(tool_messages: DataFrame) -> DataFrame:
     parameters = F.coalesce("tool.function.parameters", "tool.parameters").alias("parameters")
     rows = rows.select("conv_id", name, F.struct("turn", "nth", parameters).alias("one"))
     last = rows.groupBy("conv_id", "name").agg(F.max("one").alias("one"))
-    return last.select("conv_id", "name", F.from_json("one.parameters", SCHEMA).alias("schema"))
+    return last.select("conv_id", "name", F.col("one.parameters").alias("schema"))
+
+
+def _kind(value: Column) -> Column:
+    return F.regexp_extract(F.schema_of_variant(value), "^[A-Z]+", 0)
 
 
 def _is_type(value: Column, wanted: Column) -> Column:
-    """Whether a variant is of a JSON schema's type; any type passes where none is named."""
+    """Whether a variant is of a JSON schema's type."""
     kind = F.schema_of_variant(value)
     whole = (kind == "BIGINT") | kind.rlike(r"^DECIMAL\(\d+,0\)$")
-    named = (
+    return (
         F.when(wanted == "string", kind == "STRING")
         .when(wanted == "integer", whole)
         .when(wanted == "number", whole | kind.rlike("^(DECIMAL|DOUBLE|FLOAT)"))
@@ -153,41 +169,129 @@ def _is_type(value: Column, wanted: Column) -> Column:
         .when(wanted == "object", kind.startswith("OBJECT"))
         .when(wanted == "array", kind.startswith("ARRAY"))
         .when(wanted == "null", kind == "VOID")
+        .otherwise(F.lit(False))
+    )
+
+
+def _is_number(value: Column) -> Column:
+    return _kind(value).isin("BIGINT", "DECIMAL", "DOUBLE", "FLOAT")
+
+
+def _text(value: Column) -> Column:
+    """Equal texts for equal values: numbers without trailing zeros."""
+    number = F.try_variant_get(value, "$", "decimal(38,18)").cast("string")
+    return F.when(_is_number(value), F.coalesce(number, F.to_json(value))).otherwise(F.to_json(value))
+
+
+def _beyond(value: Column, bound: Column, is_beyond) -> Column:
+    both = [[F.try_variant_get(x, "$", kind) for x in (value, bound)] for kind in ("decimal(38,18)", "double")]
+    return _is_number(value) & F.coalesce(*[is_beyond(*pair) for pair in both])
+
+
+def _look(level: DataFrame) -> tuple[Column, Column]:
+    """Errors of a level's rows (path, value, rule, rules, parts), and (path, value, rule) of what is inside."""
+    value, path = F.col("value"), F.col("path")
+    shown = F.when(path == "", F.lit("$")).otherwise(path)
+    texts = "array<string>"
+
+    def rule(key: str) -> Column:
+        return F.try_element_at("rules", F.lit(key))
+
+    def inside(key: Column) -> Column:
+        return F.when(path == "", key).otherwise(F.concat(path, F.lit("."), key))
+
+    def said(word: str, condition: Column) -> Column:
+        return F.when(F.coalesce(condition, F.lit(False)), F.array(F.concat(F.lit(word + " "), shown)))
+
+    def all_said(word: str, keys: Column) -> Column:
+        return F.transform(keys, lambda k: F.concat(F.lit(word + " "), inside(k)))
+
+    def is_schema(v: Column) -> Column:
+        return _kind(v).isin("OBJECT", "BOOLEAN")
+
+    kind = _kind(value)
+    wanted = F.when(_kind(rule("type")) == "STRING", F.array(F.try_variant_get(rule("type"), "$", "string")))
+    wanted = F.when(_kind(rule("type")) == "ARRAY", F.try_variant_get(rule("type"), "$", texts)).otherwise(wanted)
+    no_type = rule("type").isNotNull() & ~F.coalesce(F.forall(wanted, lambda w: F.coalesce(w.isin(*TYPES), F.lit(False))), F.lit(False))
+    listed = F.try_variant_get(rule("enum"), "$", "array<variant>")
+    required = F.try_variant_get(rule("required"), "$", texts)
+    properties = F.try_variant_get(rule("properties"), "$", ENTRIES)
+    named = F.coalesce(F.map_keys(properties), F.array().cast(texts))
+    others = F.filter(F.map_keys("parts"), lambda k: ~F.array_contains(named, k))
+    rest, items = rule("additionalProperties"), rule("items")
+    elements = F.when(kind == "ARRAY", F.try_variant_get(value, "$", "array<variant>"))
+    none = F.to_json(rest) == "false"
+    malformed = [
+        ("enum", listed), ("required", required), ("properties", properties), ("additionalProperties", F.when(is_schema(rest), True)),
+        ("items", F.when(is_schema(items), True)),
+        *[(k, F.when(_is_number(rule(k)), True)) for k in KEYWORDS if k.startswith(("min", "max", "exclusive"))],
+    ]
+    strange = F.filter(F.map_keys("rules"), lambda k: ~k.isin(*KEYWORDS, *NOTES))
+    strange = F.concat(
+        strange, F.array_compact(F.array(
+            F.when(no_type, F.lit("type")), *[F.when(rule(k).isNotNull() & read.isNull(), F.lit(k)) for k, read in malformed]
+        ))
     )
-    return F.coalesce(named, F.lit(True))
+    errors = [
+        said("type", ~no_type & ~F.exists(wanted, lambda w: _is_type(value, w))),
+        said("enum", ~F.exists(listed, lambda x: _text(x) == _text(value))),
+        said("const", _text(rule("const")) != _text(value)),
+        *[said(k, _beyond(value, rule(k), is_beyond)) for k, is_beyond in BOUNDS],
+        *[said(k, (kind == of) & is_beyond(size(value), F.try_variant_get(rule(k), "$", "double")))
+          for low, high, size, of in SIZES for k, is_beyond in ((low, lambda a, b: a < b), (high, lambda a, b: a > b))],
+        F.when(kind == "OBJECT", all_said("missing", F.array_except(required, F.map_keys("parts")))),
+        F.when(none, all_said("unknown", others)),
+        said("not allowed", F.to_json("rule") == "false"),
+        said("unsupported schema", ~is_schema(F.col("rule"))),
+        F.transform(strange, lambda k: F.concat(F.lit("unsupported "), k, F.lit(" "), shown)),
+    ]
+    row = lambda path, value, rule: F.struct(path.alias("path"), value.alias("value"), rule.alias("rule"))
+    deeper = [
+        F.transform(
+            F.filter(F.map_keys("parts"), lambda k: F.array_contains(named, k)),
+            lambda k: row(inside(k), F.try_element_at("parts", k), F.try_element_at(properties, k)),
+        ),
+        F.when(_kind(rest) == "OBJECT", F.transform(others, lambda k: row(inside(k), F.try_element_at("parts", k), rest))),
+        F.when(is_schema(items), F.transform(
+            elements, lambda x, i: row(F.concat(path, F.lit("["), i.cast("string"), F.lit("]")), x, items)
+        )),
+    ]
+    return _joined(errors), _joined(deeper)
+
+
+def _joined(lists: list[Column]) -> Column:
+    return F.flatten(F.array_compact(F.array(*lists)))
 
 
 def check_arguments(calls: DataFrame, schemas: DataFrame) -> DataFrame:
     """`calls` with `errors`, a sorted array of texts; a call of an unknown tool has one error."""
-    args = F.explode(F.array(F.from_json("arguments", "map<string,variant>"))).alias("args")
-    rows = calls.join(schemas.withColumn("known", F.lit(True)), ["conv_id", "name"], "left").select("*", args)
-    properties = F.coalesce("schema.properties", F.from_json(F.lit("{}"), "map<string,struct<type:string,enum:array<string>>>"))
-    required = F.coalesce("schema.required", F.array().cast("array<string>"))
-    entries = F.map_entries("args")
-
-    def named(prefix: str, keys: Column) -> Column:
-        return F.transform(keys, lambda k: F.concat(F.lit(prefix + " "), k))
-
-    def keys_where(condition) -> Column:
-        return F.transform(F.filter(entries, condition), lambda e: e["key"])
-
-    def rule(e: Column) -> Column:
-        return F.try_element_at(properties, e["key"])
-
-    wrong = keys_where(lambda e: ~_is_type(e["value"], rule(e)["type"]))
-    other = keys_where(lambda e: rule(e)["enum"].isNotNull() & ~F.array_contains(
-        rule(e)["enum"], F.coalesce(F.try_variant_get(e["value"], "$", "string"), F.lit(""))))
-    unknown = keys_where(lambda e: (F.col("schema.additionalProperties") == F.lit(False)) & rule(e).isNull())
-    errors = F.concat(
-        named("missing", F.array_except(required, F.map_keys("args"))),
-        named("type", wrong), named("enum", other), named("unknown", F.coalesce(unknown, F.array().cast("array<string>"))),
-    )
+    args = F.try_parse_json("arguments")
+    rows = stage(calls.join(schemas.withColumn("known", F.lit(True)), ["conv_id", "name"], "left"))
+    is_object = F.coalesce(_kind(args) == "OBJECT", F.lit(False))
+    asked = rows.where(F.col("known") & is_object & F.col("schema").isNotNull())
+    rule = F.coalesce(F.try_parse_json("schema"), F.parse_json(F.lit('"no JSON"')))
+    level = asked.select("mid", "nth", F.lit("").alias("path"), args.alias("value"), rule.alias("rule"))
+    found = []
+    while not found or level.limit(1).count():
+        read = level.withColumns({
+            "rules": F.try_variant_get("rule", "$", ENTRIES),
+            "parts": F.when(_kind(F.col("value")) == "OBJECT", F.try_variant_get("value", "$", ENTRIES)),
+        })
+        errors, deeper = _look(read)
+        looked = stage(read.select("mid", "nth", errors.alias("errors"), F.transform(deeper, lambda d: F.struct(
+            d["path"].alias("path"), F.to_json(d["value"]).alias("value"), F.to_json(d["rule"]).alias("rule")
+        )).alias("deeper")))
+        found.append(looked.select("mid", "nth", F.explode("errors").alias("error")))
+        level = looked.select("mid", "nth", F.explode("deeper").alias("d")).select(
+            "mid", "nth", "d.path", F.parse_json("d.value").alias("value"), F.parse_json("d.rule").alias("rule")
+        )
+    wrong = _union(found).groupBy("mid", "nth").agg(F.array_sort(F.collect_list("error")).alias("wrong"))
     errors = (
         F.when(F.col("known").isNull(), F.array(F.lit("no such tool")))
-        .when(F.col("args").isNull(), F.array(F.lit("no object")))
-        .otherwise(F.array_sort(errors))
+        .when(~is_object, F.array(F.lit("no object")))
+        .otherwise(F.coalesce("wrong", F.array().cast("array<string>")))
     )
-    return rows.withColumn("errors", errors).drop("schema", "known", "args")
+    return rows.join(wrong, ["mid", "nth"], "left").withColumn("errors", errors).drop("schema", "known", "wrong")
 
 
 def order(tool_messages: DataFrame, calls: DataFrame, results: DataFrame) -> DataFrame:

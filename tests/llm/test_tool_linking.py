@@ -110,3 +110,30 @@ def test_nothing_that_is_said_is_lost(spark):
     assert wrote[2] == {"tool_call_id": "c1", "name": "add", 'is "error"': False, "role": "tool"}
     assert wrote[3] == {"role": "user", "tool_calls": calls, "tools": []}
     assert wrote[4]["_text"] == messages[4][3]
+
+
+def test_schemas_at_all_depths(spark):
+    deep = {"type": "object", "properties": {
+        "o": {"type": ["object", "null"], "required": ["k"], "additionalProperties": False,
+              "properties": {"k": {"type": "integer", "minimum": 1, "exclusiveMaximum": 5}}},
+        "l": {"type": "array", "maxItems": 2, "items": {"type": "object", "properties": {"s": {"type": "string", "minLength": 2}}}},
+        "c": {"const": 1.0}, "e": {"enum": [1, "x", None]}, "f": False, "t": {"title": "any", "default": 3},
+    }, "additionalProperties": {"type": "string"}}
+    odd = {"properties": {"a": {"anyOf": [{"type": "string"}]}, "b": {"$ref": "#/x"}, "t": {"type": "text"}, "p": {"pattern": "^a"}}}
+    tools = {"tools": [{"name": "deep", "parameters": deep}, {"name": "odd", "parameters": odd}, {"name": "free"}]}
+    wanted = [
+        ("deep", {"o": {"k": 4}, "l": [{"s": "ab"}, {}], "c": 1, "e": None, "t": [1], "more": "x"}, []),
+        ("deep", {"o": None, "e": "x"}, []),
+        ("deep", {"o": {"k": 5, "z": 1}}, ["exclusiveMaximum o.k", "unknown o.z"]),
+        ("deep", {"o": {}, "l": [{"s": "a"}, 3, {"s": 1}]}, ["maxItems l", "minLength l[0].s", "missing o.k", "type l[1]", "type l[2].s"]),
+        ("deep", {"o": {"k": 0.5}, "c": 2, "e": "1", "f": 0, "more": 1},
+         ["const c", "enum e", "minimum o.k", "not allowed f", "type more", "type o.k"]),
+        ("deep", {"o": "text"}, ["type o"]),
+        ("odd", {}, []),
+        ("odd", {"a": "x", "b": 1, "t": "x", "p": "b"}, ["unsupported $ref b", "unsupported anyOf a", "unsupported pattern p", "unsupported type t"]),
+        ("free", {"any": {"thing": []}}, []),
+    ]
+    calls = [call(f"c{i}", name, args) for i, (name, args, _) in enumerate(wanted)]
+    got = chat(spark, (1, 0, "system", tools), (1, 1, "assistant", {"tool_calls": calls}))
+    assert [c["errors"] for c in json.loads(got[1].json)["calls"]] == [errors for _, _, errors in wanted]
+    assert got[1].n_invalid == 5
