@@ -20,7 +20,7 @@ rows of their own. With fewer groups than shards some shards stay empty.
 
 from __future__ import annotations
 
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right
 from functools import reduce
 from operator import or_
 
@@ -100,6 +100,40 @@ class GroupSizes:
             return int(self.ends[b - 1]) if b else 0, None
         return int(ends[i]), int(keys[i])
 
+    def first_from(self, total: int) -> int:
+        """The smallest running total that is not below `total`."""
+        if total <= 0 or total >= self.total:
+            return min(max(total, 0), self.total)
+        b = int(np.searchsorted(self.ends, total, side="left"))
+        if int(self.ends[b]) == total:
+            return total
+        if b not in self.read:
+            self.load([(total, total)])
+        ends = self.read[b][1]
+        return int(ends[bisect_left(ends, total)])
+
+    def large(self, shards: int) -> list[tuple[int, int]]:
+        """(begin, end) of the groups above an even share of what smaller groups leave; fewer than `shards`."""
+        found, rest = [], self.total
+        while len(found) < shards:
+            share = rest / (shards - len(found))
+            if self.most <= share:
+                break
+            more = self.groups.where(F.col("size") > F.lit(share)).select("bucket", "group", "size").collect()
+            if len(more) == len(found):
+                break
+            found, rest = more, self.total - sum(r["size"] for r in more)
+        places = []
+        for row in found:
+            b = row["bucket"]
+            if b not in self.read:
+                begin = int(self.ends[b - 1]) if b else 0
+                self.load([(begin, begin)])
+            keys, ends = self.read[b]
+            end = int(ends[bisect_left(keys, row["group"])])
+            places.append((end - row["size"], end))
+        return sorted(places)
+
 
 def greedy_ends(sizes: GroupSizes, capacity: int, shards: int) -> list[int] | None:
     """Running totals at the ends of shards filled up to `capacity`; None if they don't suffice."""
@@ -129,6 +163,38 @@ def smallest_capacity(sizes: GroupSizes, shards: int) -> tuple[int, list[int]]:
     return high, best or []
 
 
+def even_ends(sizes: GroupSizes, capacity: int, shards: int) -> list[int]:
+    """Running totals at the ends of shards that are as even as may be, none above a feasible capacity."""
+    sizes.forget()
+    mean, total = sizes.total // shards, sizes.total
+    spans = [(total - i * capacity, total - i * capacity + i * sizes.mean) for i in range(1, shards)]
+    spans += [(i * mean - sizes.mean, i * mean + sizes.mean) for i in range(1, shards)]
+    sizes.load([(low, min(high, total - 1)) for low, high in spans if high >= 0 and low < total])
+    # From latest[i] on, i shards suffice.
+    latest = [total]
+    for _ in range(shards - 1):
+        latest.append(sizes.first_from(latest[-1] - capacity))
+    large, ends, at = sizes.large(shards), [], 0
+    while at < total:
+        left = shards - len(ends)
+        large = [span for span in large if span[0] >= at]
+        if large and large[0][0] == at:
+            end = large[0][1]
+        else:
+            share = (total - at - sum(end - begin for begin, end in large)) / max(1, left - len(large))
+            # As many shards up to the next large group as come nearest to the share, even among themselves.
+            run = (large[0][0] if large else total) - at
+            aim = at + -(-run // max(1, round(run / share)))
+            low, end = sizes.last_within(min(aim, total))[0], sizes.first_from(aim)
+            if low > at and aim - low <= end - aim:
+                end = low
+            end = min(end, sizes.last_within(min(total, at + capacity))[0])
+        end = max(end, latest[left - 1])
+        ends.append(end)
+        at = end
+    return ends
+
+
 def cuts(rows: DataFrame, shards: int, group: Column, size: Column, bits: int = BUCKET_BITS) -> list[int]:
     """The first group of each shard but the first, in order; at most `shards` - 1 of them."""
     groups = rows.select(group.alias("group"), size.alias("size"))
@@ -138,7 +204,8 @@ def cuts(rows: DataFrame, shards: int, group: Column, size: Column, bits: int =
     groups = groups.withColumn("bucket", bucket)
     # Sorted files, of which a read of some buckets skips most.
     sizes = GroupSizes(stage(groups.repartitionByRange("bucket").sortWithinPartitions("bucket")), bits)
-    _, ends = smallest_capacity(sizes, shards)
+    capacity, _ = smallest_capacity(sizes, shards)
+    ends = even_ends(sizes, capacity, shards) if sizes.total else []
     return [_group_after(sizes, end) for end in ends[:-1]]
 
 

@@ -97,6 +97,20 @@ def test_shards_are_as_even_as_can_be(spark, n):
         assert slots == list(range(len(slots)))
 
 
+@pytest.mark.parametrize("place", [0.0, 0.5, 1.0])
+def test_a_hot_group_leaves_no_shard_empty(spark, place):
+    sizes = [(i, 100) for i in range(2000)]
+    hot = int(place * 2000)
+    df = spark.createDataFrame(sizes + [(hot, 100_000)], "g long, s long")
+    # Groups in order of `g`, spread over the whole range of the order.
+    group = F.col("g") * (1 << 52) - F.lit(1 << 62)
+    rows = shards.assign_shards(df, 24, group=group, size=F.col("s"))
+    load = {r["shard"]: r["s"] for r in rows.groupBy("shard").agg(F.sum("size").alias("s")).collect()}
+    assert set(load) == set(range(24)) and max(load.values()) in (100_000, 100_100)
+    rest = sorted(load.values())[:-1]
+    assert rest[-1] <= 1.2 * 200_000 / 23 and rest[0] >= 0.5 * 200_000 / 23
+
+
 def test_shard_query(spark, texts):
     rows = QUERIES["op4_shard"](spark, FOLDER).collect()
     assert {r.doc_id: r.size for r in rows} == {i: len(t.encode()) + 8 for i, t in texts.items()}
