@@ -16,6 +16,7 @@ from millrace.llm import (
     sentencepiece_bpe,
     shards,
     simhash,
+    token_counts,
     tool_linking,
     toxicity,
 )
@@ -26,6 +27,7 @@ from millrace.sources.landed import read_table
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 MODEL = "piece_bpe_32k.model"
+COUNT_MODEL = "byte_bpe_50k.json"
 
 
 def query(fn: Query) -> Query:
@@ -143,3 +145,11 @@ def op10_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
     found = line_dedup.drop_repeated_lines(_documents(spark, sf), counters=("n_lines", "n_dropped"))
     kept = F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256")
     return found.select("doc_id", "n_lines", "n_dropped", kept)
+
+
+@query
+def op11_token_counts(spark: SparkSession, sf: str) -> DataFrame:
+    docs = _documents(spark, sf).withColumn("n_bytes", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long"))
+    spec = token_counts.read_tokenizer(tokenizer_path(COUNT_MODEL))
+    counted = token_counts.count_tokens(docs, spec)
+    return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 512).alias("over_limit"))

@@ -45,7 +45,7 @@ def test_query_equals_sql(spark, con, name):
 
 def test_all_are_registered():
     named = registry.queries()
-    assert {n.split("_")[0] for n in named if n.startswith("op")} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in named if n.startswith("op")} == {f"op{i}" for i in range(1, 12)}
     assert "pipeline" in named
 
 
