@@ -19,6 +19,7 @@ from millrace.llm import (
     token_counts,
     tool_linking,
     toxicity,
+    turn_repair,
 )
 from millrace.llm.rows import row_key
 from millrace.session import stage
@@ -153,3 +154,25 @@ def op11_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     spec = token_counts.read_tokenizer(tokenizer_path(COUNT_MODEL))
     counted = token_counts.count_tokens(docs, spec)
     return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 512).alias("over_limit"))
+
+
+def damaged(rows: DataFrame) -> DataFrame:
+    """`conversations` with a fault put into rows by the crc32 of `conv_id:turn`; rows to drop are `gone`."""
+    part = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    fault = F.crc32(F.concat(part("conv_id"), F.lit(":"), part("turn")).cast("binary")) % 20
+    text = F.when(fault == 1, "").when(fault == 2, F.regexp_replace(part("text"), "[.!?]", "")).otherwise(part("text"))
+    return rows.select(
+        "conv_id",
+        "turn",
+        F.when(fault == 4, "user").otherwise(part("role")).alias("role"),
+        text.alias("text"),
+        (fault == 0).alias("gone"),
+        F.explode(F.array_repeat(F.lit(0), F.when(fault == 3, 2).otherwise(1))).alias("copy"),
+    )
+
+
+@query
+def op12_turn_repair(spark: SparkSession, sf: str) -> DataFrame:
+    rows = damaged(read_table(spark, sf, "conversations").select("conv_id", "turn", "role", "text"))
+    packed = stage(turn_repair.pack_turns(rows, gone=F.col("gone")))
+    return turn_repair.report(turn_repair.repair(packed))
