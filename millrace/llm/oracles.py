@@ -116,9 +116,55 @@ _LINES = f"""
     FROM keyed LEFT JOIN shared USING (key) GROUP BY doc_id
 """
 
+# crc32 of the id's decimal digits, a bit at a time.
+_CRC = """
+    xor(list_reduce(
+        list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+        lambda a, b: list_reduce(
+            list_prepend(xor(a, b), range(8)),
+            lambda x, i: CASE WHEN x & 1 = 1 THEN xor(x >> 1, CAST(3988292384 AS BIGINT)) ELSE x >> 1 END)),
+        CAST(4294967295 AS BIGINT))
+"""
+
+_TRIE = f"""
+    WITH turns AS (
+        SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+               row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) - 1 AS pos
+        FROM conversations WHERE conv_id IS NOT NULL),
+    heads AS (SELECT conv_id, {_CRC} % 6 AS h FROM (SELECT DISTINCT conv_id FROM turns)),
+    built AS (
+        SELECT c.conv_id, role, text, 0 AS part, pos FROM heads c
+        JOIN turns t ON t.conv_id = c.conv_id - c.conv_id % 100 AND pos < h
+        UNION ALL SELECT conv_id, role, text, 1, pos FROM heads JOIN turns USING (conv_id) WHERE pos >= h),
+    lists AS (
+        SELECT h.conv_id, coalesce(list({{'r': role, 't': text}} ORDER BY part, pos) FILTER (role IS NOT NULL), []) AS l
+        FROM heads h LEFT JOIN built USING (conv_id) GROUP BY h.conv_id),
+    prefixes AS (
+        SELECT conv_id, d AS depth, sha256(CAST(to_json(l[1:d]) AS VARCHAR)) AS key, d = len(l) AS ends,
+               CASE WHEN d > 0 THEN length(l[d].t) ELSE 0 END AS chars
+        FROM (SELECT conv_id, l, unnest(range(0, len(l) + 1)) AS d FROM lists)),
+    nodes AS (
+        SELECT key, depth, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(chars) * (count(*) - 1) AS own,
+               string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ends) AS ends
+        FROM prefixes GROUP BY key, depth),
+    ups AS (
+        SELECT n.key, n.depth, u.key AS up_key, u.conv_id AS parent_conv_id
+        FROM nodes n JOIN prefixes p ON p.conv_id = n.conv_id AND p.depth = n.depth - 1
+        JOIN nodes u ON u.key = p.key AND u.depth = p.depth),
+    children AS (SELECT up_key AS key, count(*) AS n_children FROM ups GROUP BY up_key),
+    sums AS (
+        SELECT p.key, sum(own) AS saved, count(*) FILTER (c.key IS NULL) AS n_leaves
+        FROM nodes n JOIN prefixes p ON p.conv_id = n.conv_id AND p.depth <= n.depth
+        LEFT JOIN children c ON c.key = n.key GROUP BY p.key)
+    SELECT n.conv_id, n.depth, parent_conv_id, n_convs, coalesce(n_children, 0) AS n_children, n_leaves,
+           CAST(saved AS BIGINT) AS saved_tokens, sha256(coalesce(ends, '')) AS ends_sha256
+    FROM nodes n LEFT JOIN ups USING (key) LEFT JOIN children USING (key) JOIN sums USING (key)
+"""
+
 ORACLES = {
     "op1_decontaminate": _DECONTAMINATE,
     "op2_license_scan": _LICENSES,
     "op8_tool_linking": _MESSAGES,
     "op10_line_dedup": _LINES,
+    "op13_prefix_trie": _TRIE,
 }

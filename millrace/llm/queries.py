@@ -13,6 +13,7 @@ from millrace.llm import (
     language,
     licenses,
     line_dedup,
+    prefix_trie,
     sentencepiece_bpe,
     shards,
     simhash,
@@ -176,3 +177,37 @@ def op12_turn_repair(spark: SparkSession, sf: str) -> DataFrame:
     rows = damaged(read_table(spark, sf, "conversations").select("conv_id", "turn", "role", "text"))
     packed = stage(turn_repair.pack_turns(rows, gone=F.col("gone")))
     return turn_repair.report(turn_repair.repair(packed))
+
+
+def rebuilt(packed: DataFrame) -> DataFrame:
+    """The runs of `pack_conversations` with each conversation's first turns taken from the one at its hundred.
+
+    The first h turns come from conversation c - c % 100, as far as it has them; h is the crc32 of c, modulo 6.
+    """
+    turn = F.posexplode(F.arrays_zip("ids", "chars")).alias("pos", "turn")
+    heads = packed.where("conv_id % 100 = 0 AND first < 5").select(F.col("conv_id").alias("base"), "first", turn)
+    place = F.col("first") + F.col("pos")
+    heads = heads.where(place < 5).select("base", F.struct(place.alias("place"), "turn.ids", "turn.chars").alias("turn"))
+    heads = stage(heads.groupBy("base").agg(F.sort_array(F.collect_list("turn")).alias("head")))
+    h = (F.crc32(F.col("conv_id").cast("string").cast("binary")) % 6).cast("int")
+    base = F.col("conv_id") - F.col("conv_id") % 100
+    rows = packed.withColumns({"h": h, "base": base}).join(heads, "base", "left")
+    head = F.slice(F.coalesce("head", F.array().cast(heads.schema["head"].dataType)), 1, F.col("h"))
+    skipped = F.greatest(F.col("h") - F.col("first"), F.lit(0)).cast("int")
+    rest = lambda c: F.slice(c, skipped + 1, F.size(c))
+    at_start = F.col("start")
+    before = F.size("head") + F.greatest(F.col("first") - F.col("h"), F.lit(0))
+    return rows.withColumn("head", head).select(
+        "conv_id",
+        "seg",
+        "start",
+        F.when(at_start, 0).otherwise(before).cast("long").alias("first"),
+        F.when(at_start, F.concat("head.ids", rest("ids"))).otherwise(rest("ids")).alias("ids"),
+        F.when(at_start, F.concat("head.chars", rest("chars"))).otherwise(rest("chars")).alias("chars"),
+    )
+
+
+@query
+def op13_prefix_trie(spark: SparkSession, sf: str) -> DataFrame:
+    rows = read_table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
+    return prefix_trie.trie(rebuilt(prefix_trie.pack_conversations(rows)))

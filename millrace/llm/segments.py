@@ -8,6 +8,7 @@ walks these in order, with one value carried along and nothing kept.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -16,6 +17,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
+from millrace.llm.rows import slices
+
 
 def pack(rows: DataFrame, key: str, order: list[Column | str], values: list[str], seg: str = "seg") -> DataFrame:
     """(key, seg, values as arrays): runs of rows with one key, `seg` ascending in the order of all rows."""
@@ -71,3 +74,34 @@ def scan(
                 yield pa.record_batch([pa.array(c) for c in out.values()], names=list(out))
 
     return ordered.mapInArrow(run, schema)
+
+
+def digest(runs: DataFrame, key: str, body: str, separator: str, seg: str = "seg", name: str = "sha256") -> DataFrame:
+    """(key, SHA-256 in hex) of the bodies of a key's runs, joined by the separator; NULL bodies are left out.
+
+    The digest can't be put together from parts, so one task sees a key's runs in turn; it holds one
+    body at a time.
+    """
+    ordered = runs.select(key, seg, body).repartition(key)
+    ordered = ordered.sortWithinPartitions(F.col(key).asc_nulls_first(), seg)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, found, begun, schema = None, None, False, None
+
+        def row() -> pa.RecordBatch:
+            return pa.RecordBatch.from_pylist([{key: at, name: found.hexdigest()}], schema)
+
+        for part in slices(batches, 1):
+            schema = schema or pa.schema([part.schema.field(key), (name, pa.string())])
+            value, text = part.column(key)[0].as_py(), part.column(body)[0].as_py()
+            if found is None or value != at:
+                if found is not None:
+                    yield row()
+                at, found, begun = value, hashlib.sha256(), False
+            if text is not None:
+                found.update(((separator if begun else "") + text).encode())
+                begun = True
+        if found is not None:
+            yield row()
+
+    return ordered.mapInArrow(run, StructType([runs.schema[key]]).add(name, "string"))

@@ -24,7 +24,6 @@ Other columns are left out. Empty tables give no rows.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import product
@@ -35,7 +34,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.rows import slices
-from millrace.llm.segments import pack, scan, split_groups
+from millrace.llm.segments import digest, pack, scan, split_groups
 from millrace.session import stage
 
 WHITE = " \t\n\x0b\x0c\r"
@@ -360,37 +359,8 @@ def report(repaired: DataFrame) -> DataFrame:
     )
     joined = joined.withColumn("illegal", F.col("illegal") + F.col("meeting"))
     joined = joined.select("conv_id", gaps.alias("gaps"), *counts, "audit")
-    digests = _digests(parts.select("conv_id", "seg", F.when(F.size("roles") > 0, F.col("body")).alias("body")))
-    digests = digests.withColumnRenamed("conv_id", "digest_id")
+    bodies = parts.withColumn("body", F.when(F.size("roles") > 0, F.col("body")))
+    digests = digest(bodies, "conv_id", "body", "\n", name="repaired_sha256").withColumnRenamed("conv_id", "digest_id")
     whole = joined.join(digests, joined["conv_id"].eqNullSafe(digests["digest_id"])).drop("digest_id")
     return alone.unionByName(whole)
 
-
-def _digests(bodies: DataFrame) -> DataFrame:
-    """(conv_id, repaired_sha256) of the bodies of a conversation's runs, fed in order; one run is held at a time.
-
-    SHA-256 has no way to put parts together, so one task has to see a conversation's runs in turn.
-    """
-    ordered = bodies.repartition("conv_id").sortWithinPartitions(F.col("conv_id").asc_nulls_first(), "seg")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, digest, begun, schema = None, None, False, None
-
-        def row() -> pa.RecordBatch:
-            return pa.RecordBatch.from_pylist([{"conv_id": at, "repaired_sha256": digest.hexdigest()}], schema)
-
-        for part in slices(batches, 1):
-            schema = schema or pa.schema([part.schema.field("conv_id"), ("repaired_sha256", pa.string())])
-            conv, body = part.column("conv_id")[0].as_py(), part.column("body")[0].as_py()
-            if digest is None or conv != at:
-                if digest is not None:
-                    yield row()
-                at, digest, begun = conv, hashlib.sha256(), False
-            if body is not None:
-                digest.update((("\n" if begun else "") + body).encode())
-                begun = True
-        if digest is not None:
-            yield row()
-
-    id_type = bodies.schema["conv_id"].dataType.simpleString()
-    return ordered.mapInArrow(run, f"conv_id {id_type}, repaired_sha256 string")
