@@ -53,7 +53,7 @@ def test_every_query_takes_edge_cases(spark, tmp_path):
     folder = write(spark, tmp_path / "edges", empty=False)
     counts = {name: len(q(spark, folder).collect()) for name, q in QUERIES.items()}
     wanted = {name: len(ROWS["documents"]) for name in QUERIES}
-    wanted |= {"op5_embedding_dedup": 12, "op8_tool_linking": 3, "op12_turn_repair": 2, "op13_prefix_trie": 2}
+    wanted |= {"op5_embedding_dedup": 12, "op8_tool_linking": 3, "op12_turn_repair": 2, "op13_prefix_trie": 1}
     assert counts == wanted
     links = {(r.vec_id, r.n_links, r.component_id, r.kept) for r in QUERIES["op5_embedding_dedup"](spark, folder).collect()}
     assert {(1, 2, 1, True), (2, 2, 1, False), (3, 0, 3, True), (4, 0, 4, True), (6, 0, 6, True)} <= links
