@@ -16,8 +16,11 @@ DataFrame operations only. Steps:
 rarest words close together in any order.
 
 A NULL or empty text has no words, and an item without words matches nothing. Rows of documents that
-are repeated, or share a NULL id, are answered alike. Items are told apart by id; several texts of
-one id, or of the id NULL (written as an empty string), are one item.
+are repeated, or share a NULL id, are indexed once and answered alike. Items are told apart by id;
+several texts of one id, or of the id NULL (written as an empty string), are one item. Of equally rare
+words the first in the window, or in the order of bytes, is asked for first, which changes no result.
+Texts of any length are indexed whole. Other columns stay, whatever their names. Empty tables, of
+documents or items, match nothing.
 """
 
 from __future__ import annotations
@@ -32,8 +35,7 @@ from millrace.session import stage
 
 WINDOW = 10
 NEAR_TERMS, NEAR_WORDS = 3, 10
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-CASED_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+BETWEEN_WORDS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 DOC = ["k1", "k2"]
 PLACE = [*DOC, "item", "shift"]
 
@@ -50,11 +52,24 @@ class Index(NamedTuple):
 
 
 def words(text: Column) -> Column:
-    return F.regexp_extract_all(fold(text), F.lit(WORD), F.lit(0))
+    """The words of a text. Cut at what lies between them: `regexp_extract_all` copies the text at each word."""
+    return F.array_remove(F.split(fold(text), BETWEEN_WORDS, -1), "")
 
 
 def count_words(text: Column) -> Column:
-    return F.coalesce(F.regexp_count(text, F.lit(CASED_WORD)), F.lit(0)).cast("long")
+    return F.coalesce(F.size(words(text)), F.lit(0)).cast("long")
+
+
+def distinct_texts(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """(k1, k2, text): each row once, so that repeated rows have no postings of their own.
+
+    Only rows that are repeated are brought together, most of them in the map tasks; the others stay where
+    they are.
+    """
+    keyed = docs.select(*[c.alias(n) for c, n in zip(row_key(doc_id, text), DOC)], F.col(text).alias("text"))
+    repeated = stage(keyed.groupBy(*DOC).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(*DOC))
+    once = keyed.join(repeated, DOC, "left_semi").groupBy(*DOC).agg(F.first("text").alias("text"))
+    return keyed.join(repeated, DOC, "left_anti").unionByName(once)
 
 
 def build_index(
@@ -78,8 +93,8 @@ def build_index(
         "item", "item_id", F.size("words").alias("n_words"), F.posexplode("words").alias("offset", "word")
     )
     terms = stage(placed.select("word").distinct().withColumn("term", F.monotonically_increasing_id()))
-    keys = [c.alias(n) for c, n in zip(row_key(doc_id, text), DOC)]
-    found = docs.select(*keys, F.posexplode(words(F.col(text))).alias("pos", "word"))
+    texts = distinct_texts(docs, text, doc_id)
+    found = texts.select(*DOC, F.posexplode(words(F.col("text"))).alias("pos", "word"))
     postings = stage(found.join(terms, "word").select(*DOC, "pos", "term"))
     counts = postings.groupBy("term").agg(F.count(F.lit(1)).alias("n"))
     counts = stage(terms.join(counts, "term", "left").withColumn("n", F.coalesce("n", F.lit(0))))

@@ -3,6 +3,7 @@ import re
 
 from compare import spark_result
 
+from millrace.llm import decontaminate
 from millrace.llm.decontaminate import build_index, contamination, drop_contaminated, near_matches, phrase_matches
 
 
@@ -79,3 +80,23 @@ def test_main_path_has_no_python(spark, edges):
     plan = contamination(build_index(edges, items))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
     assert spark_result(contamination(build_index(edges, items)))[1]
+
+
+def test_repeated_rows_are_indexed_once(spark):
+    """n equal rows must not meet each other: the index has the postings of one."""
+    items = spark.createDataFrame([(1, "alpha beta gamma delta")], "item_id long, text string")
+    docs = spark.range(10_000).selectExpr("1L AS doc_id", "'x alpha beta gamma delta beta y' AS text")
+    docs = docs.unionByName(spark.createDataFrame([(2, "alpha beta"), (2, None)], "doc_id long, text string")).repartition(4)
+    index = build_index(docs, items)
+    assert index.postings.count() == 5 + 2
+    assert near_matches(index).count() == 1
+    assert contamination(index).count() == 1
+    assert drop_contaminated(docs, items).count() == 2
+
+
+def test_words_of_any_text(spark):
+    texts = ["", " ", "a", " a", "a ", "A-b\x00c\x7fé@Z[ü]`{1}", "日本 \U0001f600x\n\r\ty", "--", "a" * 10**6 + " b"]
+    df = spark.createDataFrame([(t,) for t in texts] + [(None,)], "text string")
+    got = df.select(decontaminate.words(df.text).alias("w"), decontaminate.count_words(df.text).alias("n")).collect()
+    assert [r.w for r in got] == [words(t) for t in texts] + [None]
+    assert [r.n for r in got] == [len(words(t)) for t in texts] + [0]
