@@ -8,14 +8,20 @@ stand on a line among others. DataFrame functions only.
 
 The digest that a report names is that of the canonical form. Texts are looked up by a wider form, which
 on top of that has no holder's lines without a year, and more words in one spelling. A holder's line
-starts with "Copyright", "(c)" or "©", and names somebody: up to 64 words with capitals, in brackets,
-addresses, or words as "of" and "and". Lines of running text stay.
+starts with "Copyright", "(c)" or "©", and names somebody, in any number of words: with capitals, in
+brackets, addresses, or words as "of" and "and". Lines of running text stay.
+
+A text is folded, freed of copyright lines and squeezed once, with its line breaks kept; the whole form and those
+of its lines are both taken from that. Of the lines, only those whose form has the length of some known
+form are hashed, as no other can have its digest.
 
 The known texts are a frame (license_id, text), which the join broadcasts if its real size is small:
 `KNOWN` and the whole texts in the folder `license_texts`, with and without titles and appendices.
 
 A NULL or blank text, or one that is blank in its canonical form, has no digest and matches nothing.
-Several known texts with one digest are all reported. Repeated rows are answered alike.
+Several known texts with one digest are all reported, in the order of their ids. Repeated rows are answered
+alike. Texts of any length are looked up whole. Other columns are left out of the report. Empty tables give no
+rows, and without known texts nothing is found.
 """
 
 from __future__ import annotations
@@ -26,7 +32,7 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.rows import fold, row_key, with_key
+from millrace.llm.rows import fold, fresh, row_key
 from millrace.session import stage
 
 # Words of one meaning, and the spelling that stands for them.
@@ -112,7 +118,7 @@ HOLDER_LINE = (
     r"|infringement|protection|rights?|permission)\b)"
     r"(?:(?:\[[^\]\n]*\]|<[^>\n]*>|\{[^}\n]*\}|[^\s\p{Ll}]\S*|[^\s@:/.]*[@:/.]\w\S*"
     r"|(?:all|and|authors?|by|contributors?|d[aeiou]|der|developers|et|its|la|members|of|others|project|reserved"
-    r"|rights|team|the|v[ao]n)(?![\w]))[.,;]*(?:[ \t]+|(?=\r?$))){1,64}+\r?$"
+    r"|rights|team|the|v[ao]n)(?![\w]))[.,;]*(?:[ \t]+|(?=\r?$)))++\r?$"
 )
 TEXTS = Path(__file__).resolve().parent / "license_texts"
 TITLES = {
@@ -130,14 +136,27 @@ def _once(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), use)[0]
 
 
-def canonical(text: Column) -> Column:
-    """The canonical form; NULL for a NULL text."""
+def _squeezed(text: Column) -> Column:
+    """The text folded, without copyright lines, words with a space on both sides, and ` \\n ` between lines."""
     plain = F.regexp_replace(fold(text), COPYRIGHT_LINE, " ")
-    plain = F.concat(F.lit(" "), F.regexp_replace(plain, r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", " "), F.lit(" "))
-    plain = F.regexp_replace(plain, " +", " ")
+    plain = F.regexp_replace(plain, r"[\x00-\x09\x0B-\x2F\x3A-\x60\x7B-\x7F]+", " ")
+    return F.regexp_replace(F.concat(F.lit(" "), plain, F.lit(" ")), " *\n *", " \n ")
+
+
+def _one_line(squeezed: Column) -> Column:
+    return F.regexp_replace(squeezed, " *\n[ \n]*", " ")
+
+
+def _rephrased(plain: Column) -> Column:
+    """Phrases and words in one spelling; both stay within a line."""
     for phrase, other in PHRASES.items():
         plain = F.replace(plain, F.lit(f" {phrase} "), F.lit(f" {other} " if other else " "))
-    return _once(plain, lambda one: F.trim(_respelled(one)))
+    return plain
+
+
+def canonical(text: Column) -> Column:
+    """The canonical form; NULL for a NULL text."""
+    return _once(_rephrased(_one_line(_squeezed(text))), lambda one: F.trim(_respelled(one)))
 
 
 def _respelled(plain: Column, spelled: dict[str, str] = SPELLINGS) -> Column:
@@ -169,21 +188,39 @@ def digest(text: Column) -> Column:
     return _once(canonical(text), _hashed)
 
 
-def digests(text: Column) -> Column:
-    """A struct of `digest`, and `wide`, the digest of the wider form, by which texts are looked up."""
+def _held(text: Column) -> Column:
+    """The text without holders' lines."""
+    return F.when(text.rlike(HOLDER_LINE), F.regexp_replace(text, HOLDER_LINE, " ")).otherwise(text)
+
 
-    def both(form: Column) -> Column:
-        held = F.when(text.rlike(HOLDER_LINE), canonical(F.regexp_replace(text, HOLDER_LINE, " "))).otherwise(form)
-        spaced = F.concat(F.lit(" "), held, F.lit(" "))
-        wide = _once(spaced, lambda one: F.trim(_respelled(one, WIDER)))
-        return F.struct(_hashed(form).alias("digest"), _once(wide, _hashed).alias("wide"))
+def _wider(form: Column) -> Column:
+    """The wider form of a canonical form whose words have a space on both sides."""
+    return _once(form, lambda one: _respelled(one, WIDER))
 
-    return _once(canonical(text), both)
+
+def forms(docs: DataFrame, text: str) -> tuple[DataFrame, str, str]:
+    """`docs` with two columns, whose names are returned: the text without holders' lines, and that squeezed.
+
+    Generated columns, so that each is worked out once, whatever is then made of it.
+    """
+    held, squeezed = fresh(docs, "_held", "_squeezed")
+    docs = docs.withColumn(held, F.explode(F.array(_held(F.col(text)))))
+    return docs.withColumn(squeezed, F.explode(F.array(_squeezed(F.col(held))))), held, squeezed
+
+
+def _whole(squeezed: Column) -> Column:
+    """The canonical form of a squeezed text, with a space on both sides."""
+    return _once(_rephrased(_one_line(squeezed)), lambda one: _respelled(one))
+
+
+def _wide_form(text: Column) -> Column:
+    return F.trim(_wider(_whole(_squeezed(_held(text)))))
 
 
 def known_digests(licenses: DataFrame) -> DataFrame:
-    """(wide, license_id), distinct, of known texts (license_id, text)."""
-    found = licenses.select(digests(F.col("text"))["wide"].alias("wide"), "license_id")
+    """(wide, length, license_id), distinct, of known texts (license_id, text): digest and length of the wider form."""
+    found = licenses.select(_wide_form(F.col("text")).alias("form"), "license_id")
+    found = found.select(_hashed(F.col("form")).alias("wide"), F.char_length("form").alias("length"), "license_id")
     return stage(found.where("wide IS NOT NULL").distinct())
 
 
@@ -202,18 +239,35 @@ def known_licenses(spark: SparkSession) -> DataFrame:
 
 def scan(docs: DataFrame, licenses: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """(k1, k2, license_id): rows of `docs` whose entire text is a known text."""
-    return _lookup(docs, F.array(F.col(text)), licenses, text, doc_id)
+    keyed = _keyed(docs, text, doc_id)
+    form = F.explode(F.array(_wide_form(F.col("text")))).alias("form")
+    return _looked_up(keyed.select("k1", "k2", form), known_digests(licenses))
 
 
 def scan_lines(docs: DataFrame, licenses: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """(k1, k2, license_id): rows of `docs` with a line that is a known text."""
-    return _lookup(docs, F.split(F.col(text), "\n", -1), licenses, text, doc_id)
+    formed, _, squeezed = forms(_keyed(docs, text, doc_id), "text")
+    return _looked_up(formed.select("k1", "k2", F.explode(_line_forms(F.col(squeezed))).alias("form")), known_digests(licenses))
 
 
-def _lookup(docs: DataFrame, texts: Column, licenses: DataFrame, text: str, doc_id: str) -> DataFrame:
+def _keyed(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
     keys = [c.alias(n) for c, n in zip(row_key(doc_id, text), ("k1", "k2"))]
-    found = docs.select(*keys, F.explode(texts).alias("one")).select("k1", "k2", digests(F.col("one"))["wide"].alias("wide"))
-    return found.join(known_digests(licenses), "wide").select("k1", "k2", "license_id").distinct()
+    return docs.select(*keys, F.col(text).alias("text"))
+
+
+def _line_forms(squeezed: Column) -> Column:
+    """The wider forms of a squeezed text's lines, with spaces at their ends."""
+    spelled = _wider(_once(_rephrased(squeezed), lambda one: _respelled(one)))
+    return F.split(spelled, "\n", -1)
+
+
+def _looked_up(formed: DataFrame, known: DataFrame) -> DataFrame:
+    """(…, license_id): rows whose `form` is a known one; only forms of a known length are hashed."""
+    formed = formed.withColumn("form", F.trim("form")).where("form <> ''")
+    lengths = known.select("length").distinct()
+    same = formed.withColumn("length", F.char_length("form")).join(lengths, "length", "left_semi")
+    hashed = same.withColumn("wide", F.sha2("form", 256)).drop("form", "length")
+    return hashed.join(known.drop("length"), "wide").drop("wide").distinct()
 
 
 def license_report(
@@ -221,16 +275,36 @@ def license_report(
 ) -> DataFrame:
     """(doc_id, digest, license_ids, notice_ids): sorted ids of the entire text and of its lines.
 
-    Ids are joined by commas; the text is empty where there are none.
+    Ids are joined by commas; the text is empty where there are none. One pass over the texts writes,
+    for each, the digests and the lines whose length some known text has.
     """
-    keyed, keys = with_key(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), "doc_id", "text")
-    report = stage(keyed.select("doc_id", *keys, digests(F.col("text")).alias("_")).select("doc_id", *keys, "_.*"))
-    columns = []
+    known = known_digests(licenses)
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    formed, held, squeezed = forms(rows, "text")
+    whole = formed.withColumn("_whole", F.explode(F.array(_whole(F.col(squeezed)))))
+    # The lengths are as many as known texts at most; they go into the plan as one list.
+    lengths = F.array(*[F.lit(r.length) for r in known.select("length").distinct().collect()]).cast("array<int>")
+    lines = F.transform(_line_forms(F.col(squeezed)), lambda one: F.trim(one))
+    lines = F.filter(lines, lambda one: F.array_contains(lengths, F.char_length(one)))
+    narrow = F.when(F.col(held) == F.col("text"), F.trim("_whole")).otherwise(canonical(F.col("text")))
+    keys = [c.alias(n) for c, n in zip(row_key("doc_id", "text"), ("_k1", "_k2"))]
+    report = stage(
+        whole.select(
+            "doc_id",
+            *keys,
+            _once(narrow, _hashed).alias("digest"),
+            _once(F.trim(_wider(F.col("_whole"))), _hashed).alias("wide"),
+            F.array_distinct(F.transform(lines, lambda one: F.sha2(one, 256))).alias("line_digests"),
+        )
+    )
+    keys, columns = ["_k1", "_k2"], []
+    known = known.drop("length")
     for name, found in (
-        ("license_ids", report.join(known_digests(licenses), "wide").select(*keys, "license_id")),
-        ("notice_ids", scan_lines(docs, licenses, text, doc_id).toDF(*keys, "license_id")),
+        ("license_ids", report.select(*keys, "wide")),
+        ("notice_ids", report.select(*keys, F.explode("line_digests").alias("wide"))),
     ):
-        ids = found.groupBy(*keys).agg(F.array_join(F.array_sort(F.collect_set("license_id")), ",").alias(name))
+        ids = found.join(known, "wide").groupBy(*keys)
+        ids = ids.agg(F.array_join(F.array_sort(F.collect_set("license_id")), ",").alias(name))
         report = report.join(stage(ids), keys, "left")
         columns.append(F.coalesce(name, F.lit("")).alias(name))
     return report.select("doc_id", "digest", *columns)
