@@ -12,7 +12,8 @@ adds the bundles up. What comes to the driver is one vector per language.
 
 A NULL text, or one without a letter, is `UNKNOWN` with score 0; so is any text where there is nothing
 to learn from. Rows with a NULL language are not learnt from. Repeated rows are learnt from each
-time. Texts are read whole, a piece at a time.
+time. Texts are read whole, a piece at a time. Other columns stay, but for one named as a new column,
+which is replaced. Empty tables give no rows, or no prototypes.
 """
 
 from __future__ import annotations
@@ -32,6 +33,8 @@ DIM = 1024
 NGRAM = 3
 SEED = 7
 PIECE = 1 << 18  # characters that are bundled at a time
+BLOCK = 1 << 12  # distinct n-grams that are bound at a time
+KNOWN = 1 << 16  # letters whose vectors a worker keeps
 SPACE = 32
 
 
@@ -40,15 +43,20 @@ class Letters:
 
     def __init__(self, dim: int = DIM, ngram: int = NGRAM, seed: int = SEED):
         self.dim, self.ngram, self.seed = dim, ngram, seed
-        self.vectors: dict[int, np.ndarray] = {}
         self.letter = np.zeros(0x110000, np.int8)  # 0: not looked at, 1: a letter, 2: none
+        self.place = np.full(0x110000, -1, np.int32)  # of a letter's vector in the table
+        self.table = np.zeros((0, dim), np.int8)
 
-    def _vector(self, code: int) -> np.ndarray:
-        found = self.vectors.get(code)
-        if found is None:
-            found = np.random.default_rng([self.seed, code]).integers(0, 2, self.dim, np.int8) * 2 - 1
-            self.vectors[code] = found
-        return found
+    def vectors(self, codes: np.ndarray) -> np.ndarray:
+        """The vectors of distinct code points; the table keeps those of up to KNOWN letters."""
+        new = codes[self.place[codes] < 0]
+        if len(new):
+            if len(self.table) + len(new) > KNOWN:
+                self.place[:], self.table, new = -1, self.table[:0], codes
+            made = [np.random.default_rng([self.seed, c]).integers(0, 2, self.dim, np.int8) for c in new.tolist()]
+            self.place[new] = np.arange(len(self.table), len(self.table) + len(new))
+            self.table = np.concatenate([self.table, np.array(made, np.int8) * 2 - 1])
+        return self.table[self.place[codes]]
 
     def codes(self, text: str) -> np.ndarray:
         """Code points of a text in lower case: letters, with one space for each run of others."""
@@ -73,21 +81,30 @@ class Letters:
         product = np.ones((len(numbers), self.dim), np.int8)
         for i in range(self.ngram):
             codes, where = np.unique(numbers >> 21 * i & 0x1FFFFF, return_inverse=True)
-            table = np.array([np.roll(self._vector(c), i) for c in codes.tolist()], np.int8)
-            product *= table.reshape(-1, self.dim)[where]
+            product *= np.roll(self.vectors(codes), i, axis=1)[where]
         return product.astype(np.float32)
 
     def bundles(self, texts: list[np.ndarray]) -> np.ndarray:
-        """The sum of the n-grams' vectors of each text, given as its n-grams."""
-        total = np.zeros((len(texts), self.dim), np.float32)
+        """The sum of the n-grams' vectors of each text, given as its n-grams.
+
+        At most BLOCK distinct n-grams of a piece are bound and counted at a time. All sums are whole
+        numbers, small enough in a piece for 32-bit floats to hold them exactly.
+        """
+        total = np.zeros((len(texts), self.dim), np.float64)
         row = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
         flat = np.concatenate(texts) if texts else np.zeros(0, np.int64)
         for at in range(0, len(flat), PIECE):
             numbers, which = np.unique(flat[at : at + PIECE], return_inverse=True)
             rows, low = row[at : at + PIECE], row[at]
-            n = int(rows[-1] - low) + 1
-            counts = np.bincount((rows - low) * len(numbers) + which, minlength=n * len(numbers))
-            total[low : low + n] += counts.reshape(n, -1).astype(np.float32) @ self.bound(numbers)
+            order = np.argsort(which, kind="stable")
+            n, cuts = int(rows[-1] - low) + 1, range(0, len(numbers) + BLOCK, BLOCK)
+            ends = np.searchsorted(which[order], cuts)
+            for begin, first, last in zip(cuts, ends, ends[1:]):
+                own = numbers[begin : begin + BLOCK]
+                some = order[first:last]
+                places = (rows[some] - low) * len(own) + which[some] - begin
+                counts = np.bincount(places, minlength=n * len(own)).reshape(n, -1)
+                total[low : low + n] += counts.astype(np.float32) @ self.bound(own)
         return total
 
 
@@ -101,11 +118,7 @@ def learn(labelled: DataFrame, text: str = "text", lang: str = "lang") -> dict[s
             texts = part.column("text").to_pylist()
             for name in set(langs):
                 grams = [letters.grams(letters.codes(texts[i])) for i in np.flatnonzero(langs == name)]
-                flat = np.concatenate(grams)
-                for at in range(0, len(flat), PIECE):
-                    numbers, counts = np.unique(flat[at : at + PIECE], return_counts=True)
-                    own = counts.astype(np.float64) @ letters.bound(numbers)
-                    sums[name] = sums.get(name, 0) + own
+                sums[name] = sums.get(name, 0) + letters.bundles([np.concatenate(grams)])[0]
         yield pa.record_batch(
             [pa.array(list(sums), pa.string()), pa.array([v.tolist() for v in sums.values()], pa.list_(pa.float64()))],
             names=["lang", "vector"],
@@ -135,7 +148,7 @@ def predict(
             known = [bool(names) and bool((c != SPACE).any()) for c in codes]
             langs, scores = [UNKNOWN] * len(codes), [0.0] * len(codes)
             if any(known):
-                vectors = letters.bundles([letters.grams(c) for c in codes]).astype(np.float64)
+                vectors = letters.bundles([letters.grams(c) for c in codes])
                 norms = np.maximum(np.linalg.norm(vectors, axis=1), 1e-12)
                 cosines = vectors @ matrix.T / norms[:, None]
                 best = cosines.argmax(axis=1)

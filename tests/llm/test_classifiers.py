@@ -1,3 +1,4 @@
+import tracemalloc
 import zlib
 from itertools import combinations
 
@@ -26,11 +27,29 @@ def test_bundles_are_sums_of_bound_letters():
     by_hand = np.zeros(64)
     spelled = " hi you "
     for a, b, c in zip(spelled, spelled[1:], spelled[2:]):
-        va, vb, vc = (letters._vector(ord(x)) for x in (a, b, c))
+        va, vb, vc = (letters.vectors(np.array([ord(x)]))[0] for x in (a, b, c))
         by_hand += np.roll(va, 2) * np.roll(vb, 1) * vc
     assert (letters.bundles([grams, grams[:0]]) == [by_hand, np.zeros(64)]).all()
 
 
+def test_diverse_text_needs_little_memory():
+    """10^6 characters of a script with many letters, nearly all n-grams distinct; the sums stay the same."""
+    rng = np.random.default_rng(5)
+    text = "".join(map(chr, rng.integers(0x4E00, 0x9FA5, 1_000_000).tolist()))
+    letters = Letters()
+    grams = letters.grams(letters.codes(text))
+    tracemalloc.start()
+    found = letters.bundles([grams])[0]
+    assert tracemalloc.get_traced_memory()[1] < 200 << 20
+    tracemalloc.stop()
+    some = np.unique(grams[:3000])
+    plain = letters.bound(some).astype(np.float64).sum(axis=0)
+    assert (letters.bundles([some])[0] == plain).all()
+    letters.place[:], letters.table = -1, letters.table[:0]
+    parts = [letters.bundles([grams[a : a + 400_000]])[0] for a in range(0, len(grams), 400_000)]
+    assert (found == sum(parts)).all()
+
+
 def test_languages_on_edges(spark, edges, empty):
     prototypes = learn(edges)
     assert set(prototypes) == {"en"}
