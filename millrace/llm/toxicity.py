@@ -7,12 +7,15 @@ ending of its own.
 
 A text's units are its words, letters only, in lower case; digits and signs that stand for letters
 inside a word are read as these, and letters that are spelled one by one are put together. Words of
-more than `UNIT` letters are cut into overlapping units.
+more than `UNIT` letters are cut into overlapping units; those of two or three letters get a mark at
+both ends. The kernel of two units is scaled to 1 for a unit and itself, and raised to the power `POWER`,
+which is a kernel again and tells likeness from chance. The kernel of two texts is the sum over all
+pairs of units of their distinct words.
 
 1. Landmarks are letter runs that toxic training texts have far more often than others, chosen so
    that they do not resemble one another.
-2. A text has one kernel value per landmark, the largest of its units. They are mapped by the inverse
-   square root of the landmarks' own kernel matrix (Nystroem).
+2. A unit is mapped by its kernel values with the landmarks, times the inverse square root of the landmarks'
+   own kernel matrix (Nystroem), and a text is the sum of its units.
 3. A linear machine with squared hinge loss separates these vectors; its margin becomes a score from 0 to 1 by a logistic curve fitted on the training rows.
 
 The machine is fitted on a bounded sample of labelled rows (`SAMPLE` of each class at most, those
@@ -20,8 +23,11 @@ with the smallest hash of their id); counting their words is a Spark job. Scores
 texts in the tasks.
 
 A NULL text is scored like an empty one, by the machine's offset. Several labels of one id count as
-toxic if any is; NULL labels do not count. With no rows of one class there is nothing to learn, and
-every score is 0.
+toxic if any is; NULL labels do not count. With no rows of one class, or no letter run that tells the
+classes apart (it must be in three toxic training texts), there is nothing to learn, and every score is 0.
+Equally good landmarks are taken in the order of their letters. Repeated rows are scored alike. Texts of any
+length are read whole, in time proportional to their length. Other columns stay, but for one named as
+the new column, which is replaced. Empty tables give no rows.
 """
 
 from __future__ import annotations
@@ -41,29 +47,44 @@ from millrace.llm.rows import slices
 from millrace.session import stage
 
 ORDER, GAP, DECAY = 4, 3, 0.5
+POWER = 4
 UNIT = 24
 LANDMARKS = 32
+CANDIDATES = 1 << 14  # of landmarks, best first, that the driver chooses among
 LEAST_ODDS = 3.0  # natural logarithm, of a landmark in toxic against other training texts
 SAMPLE = 4000
 KEPT = 3 << 17  # words in each of the two halves of a worker's table
 SIGNS = str.maketrans("@$!013457", "asioleast")
 INSIDE = re.compile(r"(?<=[^\W\d_])[@$!013457]+(?=[^\W\d_])")
-SPELLED = re.compile(r"(?<!\S)(?:[^\W\d_]\W*\s+){2,}[^\W\d_]\W*(?!\S)")
+FIRST, LAST = "^$"  # marks of a short word's ends
+LETTER, ONLY_SIGNS = re.compile(r"[^\W\d_]\W*\Z"), re.compile(r"\W+\Z")
 
 
 def words_of(text: str) -> set[str]:
-    """The distinct words of a text, and the words that are spelled letter by letter."""
-    lower = text.lower()
-    spelled = {re.sub(r"\s+", "", m) for m in SPELLED.findall(lower)}
-    return set(lower.split()) | spelled
+    """The distinct words of a text, and the words that are spelled letter by letter: three or more single letters in a row."""
+    words = text.lower().split()
+    found, letters, spelled = set(words), 0, []
+    for word in [*words, "end"]:
+        if LETTER.match(word):
+            letters += 1
+            spelled.append(word)
+        elif spelled and ONLY_SIGNS.match(word):
+            spelled.append(word)
+        else:
+            if letters > 2:
+                found.add("".join(spelled))
+            letters, spelled = 0, []
+    return found
 
 
 def units_of(word: str) -> list[str]:
     """The units of one word."""
     word = INSIDE.sub(lambda m: m[0].translate(SIGNS), word)
     letters = "".join(filter(str.isalpha, word))
+    if len(letters) < ORDER:
+        return [f"{FIRST}{letters}{LAST}"] if len(letters) >= ORDER - 2 else []
     if len(letters) <= UNIT:
-        return [letters] if len(letters) >= ORDER else []
+        return [letters]
     return [letters[at : at + UNIT] for at in range(0, len(letters) - UNIT // 2, UNIT // 2)]
 
 
@@ -90,8 +111,24 @@ def _hash(codes: np.ndarray) -> np.ndarray:
     return codes * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(46)
 
 
+def _own_kernel(points: np.ndarray) -> np.ndarray:
+    """The kernel of each string with itself."""
+    letters, small = np.unique(points, return_inverse=True)
+    small = small.reshape(points.shape).astype(np.uint64) + np.uint64(letters[0] != 0)
+    listed = [(np.where(Landmarks._whole(c), c, 0), p) for p, c in _subsequences(small)]
+    codes = np.concatenate([c for c, _ in listed], axis=1)
+    prices = np.concatenate([np.full(c.shape[1], p) for c, p in listed])
+    order = np.argsort(codes, axis=1)
+    codes = np.take_along_axis(codes, order, axis=1)
+    new = np.ones(codes.shape, bool)
+    new[:, 1:] = codes[:, 1:] != codes[:, :-1]
+    starts = np.flatnonzero(new)
+    sums = np.add.reduceat(prices[order].ravel(), starts) * (codes.ravel()[starts] > 0)
+    return np.bincount(starts // codes.shape[1], sums**2, len(points))
+
+
 class Landmarks:
-    """Kernel values of units with a list of strings, scaled to 1 for the string itself.
+    """Kernel values of units with a list of strings, scaled to 1 for equal ones.
 
     The few subsequences that the landmarks have are listed with their weights; a unit's are looked
     up there.
@@ -113,7 +150,7 @@ class Landmarks:
         self.weights = np.array([weights[int(c)] for c in self.codes]).reshape(-1, len(strings))
         self.maybe = np.zeros(1 << 18, bool)
         self.maybe[_hash(self.codes).astype(np.int64)] = True
-        self.weights /= (self.weights**2).sum(axis=0)
+        self.weights /= np.sqrt((self.weights**2).sum(axis=0))
 
     @staticmethod
     def _whole(codes: np.ndarray) -> np.ndarray:
@@ -135,7 +172,10 @@ class Landmarks:
                 place = np.minimum(np.searchsorted(self.codes, code), len(self.codes) - 1)
                 same = self.codes[place] == code
                 np.add.at(found, rows[i[same]], price * self.weights[place[same]])
-        return found
+        near = np.flatnonzero(found.any(axis=1))
+        if len(near):
+            found[near] /= np.sqrt(_own_kernel(_matrix([strings[i] for i in near])))[:, None]
+        return found**POWER
 
 
 @dataclass
@@ -156,7 +196,7 @@ class Machine:
 
 
 class Reader:
-    """Kernel values of whole texts; what is known of a word is kept for its next use."""
+    """Kernel values of whole texts, summed over their words; what is known of a word is kept for its next use."""
 
     def __init__(self, strings: list[str]):
         self.landmarks = Landmarks(strings)
@@ -183,42 +223,39 @@ class Reader:
             found = self.landmarks.values(units[at : at + (1 << 14)]).astype(np.float32)
             for i in np.flatnonzero(found.any(axis=1)).tolist():
                 known = self.young[of[at + i]]
-                self.young[of[at + i]] = found[i] if known is None else np.maximum(known, found[i])
+                self.young[of[at + i]] = found[i] if known is None else known + found[i]
         result = np.zeros((len(texts), len(self.landmarks.strings)), np.float32)
         for row, own in zip(result, words):
             some = [v for v in map(self.young.__getitem__, own) if v is not None]
             if some:
-                np.max(some, axis=0, out=row)
+                np.sum(some, axis=0, out=row)
         if len(self.young) > KEPT:
             self.young, self.old = {}, self.young
-        return np.minimum(result, 1)
+        return result
 
 
-def choose_landmarks(counts: list[tuple[str, int, int]], n_toxic: int, n_clean: int, most: int = LANDMARKS) -> list[str]:
-    """Letter runs from (unit, toxic texts, other texts) that tell toxic texts from others.
+def letter_runs(counted: DataFrame, n_toxic: int, n_clean: int) -> DataFrame:
+    """(run, rank): runs of ORDER to ORDER + 4 letters that tell toxic texts from others, from units (unit, t, c) with their texts.
 
-    Runs are ranked by how often toxic texts have them, by the odds and by their length; one that
-    has `ORDER` letters in a row in common with a chosen one is left out.
+    The rank is by how often toxic texts have the run, by the odds and by its length.
     """
-    toxic: dict[str, int] = {}
-    for unit, t, c in counts:
-        if t * n_clean > 2 * c * n_toxic:
-            for run in _letter_runs(unit):
-                toxic[run] = toxic.get(run, 0) + t
-    rare = max(3, n_toxic // 500)
-    total = {run: [0, 0] for run, n in toxic.items() if n >= rare}
-    for unit, t, c in counts:
-        for run in _letter_runs(unit) & total.keys():
-            total[run][0] += t
-            total[run][1] += c
-    ranked = []
-    for run, (t, c) in total.items():
-        odds = np.log((t + 0.5) / n_toxic) - np.log((c + 2) / n_clean)
-        if odds > LEAST_ODDS:
-            ranked.append((-t * odds * len(run), run))
+    size = F.char_length("unit")
+    of = lambda n: F.transform(
+        F.sequence(F.lit(1), size - n + 1), lambda at: F.substring(F.col("unit"), at, F.lit(n))
+    )
+    runs = [F.when(size >= n, of(n)).otherwise(F.array().cast("array<string>")) for n in range(ORDER, ORDER + 5)]
+    runs = counted.select("t", "c", F.explode(F.array_distinct(F.concat(*runs))).alias("run"))
+    runs = runs.groupBy("run").agg(F.sum("t").alias("t"), F.sum("c").alias("c"))
+    odds = F.log((F.col("t") + 0.5) / n_toxic) - F.log((F.col("c") + 2) / n_clean)
+    runs = runs.where(F.col("t") >= max(3, n_toxic // 500)).withColumn("odds", odds).where(F.col("odds") > LEAST_ODDS)
+    return runs.select("run", (F.col("t") * F.col("odds") * F.char_length("run")).alias("rank"))
+
+
+def choose_landmarks(ranked: list[str], most: int = LANDMARKS) -> list[str]:
+    """The first runs of a list but those that have `ORDER` letters in a row in common with a chosen one."""
     chosen: list[str] = []
     alike: set[str] = set()
-    for _, run in sorted(ranked):
+    for run in ranked:
         parts = {run[at : at + ORDER] for at in range(len(run) - ORDER + 1)}
         if not parts & alike:
             chosen.append(run)
@@ -228,15 +265,11 @@ def choose_landmarks(counts: list[tuple[str, int, int]], n_toxic: int, n_clean:
     return chosen
 
 
-def _letter_runs(unit: str) -> set[str]:
-    return {unit[a : a + n] for n in range(ORDER, ORDER + 5) for a in range(len(unit) - n + 1)}
-
-
 def train(values: np.ndarray, toxic: np.ndarray, strings: list[str], ridge: float = 1e-5) -> Machine:
     """A machine on the kernel values of training texts with their labels, 0 or 1."""
     landmarks = Landmarks(strings)
     own = landmarks.values(strings)
-    power, axes = np.linalg.eigh((own + own.T) / 2 + 1e-6 * np.eye(len(strings)))
+    power, axes = np.linalg.eigh(own + 1e-6 * np.eye(len(strings)))
     to_space = axes / np.sqrt(np.maximum(power, 1e-3))
     x = np.column_stack([values @ to_space, np.ones(len(values))])
     y = np.where(toxic, 1.0, -1.0)
@@ -304,9 +337,8 @@ def fit(
     counted = rows.mapInArrow(units, "unit string, toxic int").groupBy("unit").agg(
         F.sum("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("c")
     )
-    table = counted.toArrow()  # words of the sample
-    counts = list(zip(*(table.column(c).to_pylist() for c in ("unit", "t", "c"))))
-    strings = choose_landmarks(counts, sizes[1], sizes[0], landmarks)
+    best = letter_runs(counted, sizes[1], sizes[0]).orderBy(F.desc("rank"), "run").limit(CANDIDATES)
+    strings = choose_landmarks([r.run for r in best.collect()], landmarks)
     if not strings:
         return Machine()
     found = _valued(rows, strings, "_text").select("_toxic", "_values").toArrow()

@@ -1,3 +1,4 @@
+import time
 import tracemalloc
 import zlib
 from itertools import combinations
@@ -6,7 +7,7 @@ import numpy as np
 
 from millrace.llm.language import Letters, keep_known, learn, predict
 from millrace.llm.queries import QUERIES
-from millrace.llm.toxicity import DECAY, GAP, ORDER, Landmarks, Machine, score, units_of, words_of
+from millrace.llm.toxicity import DECAY, GAP, ORDER, POWER, Landmarks, Reader, train, Machine, score, units_of, words_of
 
 FOLDER = "/root/testdata/sf0.01"
 
@@ -80,7 +81,8 @@ def test_kernel_values_by_hand():
     got = Landmarks(strings).values(units)
     for i, u in enumerate(units):
         for j, s in enumerate(strings):
-            assert np.isclose(got[i, j], by_hand(u, s) / by_hand(s, s)), (u, s)
+            scale = np.sqrt(by_hand(u, u) * by_hand(s, s))
+            assert np.isclose(got[i, j], (by_hand(u, s) / scale) ** POWER if scale else 0), (u, s)
     assert got[1, 0] > 0 and got[3, 0] > 0
 
 
@@ -89,7 +91,9 @@ def test_words_and_units():
     assert units_of("1d10t") == ["dlot"] and units_of("m0r0n") == ["moron"]
     assert "idiot" in words_of("you i d i o t now")
     long = "x" * 100
-    assert all(len(u) <= 24 for u in units_of(long)) and units_of("abc") == []
+    assert all(len(u) <= 24 for u in units_of(long)) and units_of("abc") == ["^abc$"] and units_of("a") == []
+    assert units_of("a$$") == ["^a$"] or units_of("a$$a") == ["^assa$"] or units_of("a$$a") == ["assa"]
+    assert words_of("a - b, c! x2 d e") == {"a", "-", "b,", "c!", "x2", "d", "e", "a-b,c!"}
 
 
 def test_toxicity_of_held_out_documents(spark):
@@ -103,3 +107,38 @@ def test_toxicity_of_held_out_documents(spark):
 
 def test_no_machine_scores_nothing(edges):
     assert {r.score for r in score(edges, Machine()).collect()} == {0.0}
+
+
+def test_long_white_space_is_read_in_linear_time():
+    begin = time.perf_counter()
+    assert words_of("a" + " " * 10**6 + "b" + " \n" * 10**6 + "xx") == {"a", "b", "xx"}
+    spelled = max(words_of(" ".join(["a", "b", "c"] + ["-"] * 10**5)), key=len)
+    assert units_of(spelled) == ["^abc$"]
+    assert time.perf_counter() - begin < 2
+
+
+def test_landmark_matrix_is_a_kernel_matrix():
+    strings = ["idio", "idiots", "moron", "morons", "worthles", "^ass$", "aaaa", "abababab"]
+    own = Landmarks(strings).values(strings)
+    assert np.allclose(own, own.T) and np.allclose(np.diag(own), 1)
+    assert np.linalg.eigvalsh(own).min() > -1e-9
+
+
+def test_score_from_the_kernel_up():
+    """A text's score by sums of plain kernels over its distinct units, through the same weights."""
+    strings = ["idiot", "^ass$", "worthles"]
+    texts = ["you idiot, id1ot", "an ass", "nice day", "w o r t h l e s s thing", "", "good idea, the pass", "idots and idiots"] * 3
+    toxic = np.array([1, 1, 0, 1, 0, 0, 1] * 3, bool)
+    k = lambda u, v: (by_hand(u, v) / np.sqrt(by_hand(u, u) * by_hand(v, v))) ** POWER
+    units = [[u for w in words_of(t) for u in units_of(w)] for t in texts]
+    plain = np.array([[sum(k(u, s) for u in own) for s in strings] for own in units])
+    values = Reader(strings).values(texts)
+    assert np.allclose(values, plain, atol=1e-6)
+    matrix = np.array([[k(a, b) for b in strings] for a in strings])
+    power, axes = np.linalg.eigh(matrix + 1e-6 * np.eye(3))
+    machine = train(plain, toxic, strings)
+    mapped = np.linalg.solve(axes / np.sqrt(power), machine.weights)
+    margin = plain @ (axes / np.sqrt(power)) @ mapped + machine.offset
+    expected = 1 / (1 + np.exp(-(machine.slope * margin + machine.shift)))
+    assert np.allclose(machine.scores(values), expected, atol=1e-4)
+    assert ((expected >= 0.5) == toxic).all()
