@@ -213,6 +213,18 @@ ORACLES = {
             BETWEEN 11 AND 30
     """,
     "response_actions": f"SELECT event_id, status, action, wait_s FROM ({_ACTIONS})",
+    "response_source": """
+        WITH asked AS (
+            SELECT CAST(o_orderkey AS VARCHAR) AS key, o_orderkey AS k, CAST(o_orderdate AS TIMESTAMP) AS ts,
+                   '{"metadata":{"matchId":"' || o_orderkey || '"},"info":{"platformId":' AS start,
+                   ',"gameCreation":' || CAST(trunc(CAST(o_totalprice AS DECIMAL(30, 6))) AS BIGINT) || '}}' AS rest
+            FROM orders WHERE o_orderkey % 11 = 0 AND o_orderkey % 7 <> 0)
+        SELECT 'match_raw' AS dataset, 'fetch-2' AS batch_id, 'KR' AS region, key, ts, CAST(200 AS INTEGER) AS status, body
+        FROM (
+            SELECT key, ts, start || '"KR"' || rest AS body FROM asked
+            UNION ALL SELECT key, ts + INTERVAL 1 HOUR, start || '"late"' || rest FROM asked WHERE k % 3 = 0
+            UNION ALL SELECT key, ts, start || '"KR"' || rest FROM asked WHERE k % 5 = 0)
+    """,
     "rate_audit": """
         SELECT *, in_3600s > 1 AS over_3600s, in_86400s > 5 AS over_86400s FROM (
             SELECT event_id, user_id, ts,

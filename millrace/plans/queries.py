@@ -29,8 +29,9 @@ from millrace.operators.validate import known_text, missing_keys, unknown_keys
 from millrace.plans import datasets, samples
 from millrace.plans.health import LAYERS, declare_layers, listed_schemas, roundtrip
 from millrace.plans.ingest import Run, ingest, ingest_all
-from millrace.session import scratch_schema, shared_dir, stage
+from millrace.session import scratch_schema, shared_dir, stage, staged_path
 from millrace.sources.landed import read_response_log, read_table, torn_lines
+from millrace.sources.responses import scan_responses
 from millrace.sources.tables import append, ensure_table, merge_into
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -369,6 +370,16 @@ def response_actions(spark: SparkSession, sf: str) -> DataFrame:
     return with_action(log).select("event_id", "status", "action", "wait_s")
 
 
+@query
+def response_source(spark: SparkSession, sf: str) -> DataFrame:
+    """One dataset, two fetch batches and one region of a log of JSON lines, by pushed filters."""
+    run, path = Run("kr", "challenger"), staged_path(spark)
+    log = samples.match_responses(spark, sf, run)
+    log.write.partitionBy("dataset", "batch_id").json(path)
+    asked = scan_responses(spark, path, "match_raw", ["fetch-2", "fetch-9"], "KR")
+    return asked.select("dataset", "batch_id", "region", "key", "ts", "status", "body")
+
+
 @query
 def rate_audit(spark: SparkSession, sf: str) -> DataFrame:
     events = read_table(spark, sf, "events").select("event_id", "user_id", "ts")

@@ -57,14 +57,14 @@ def stage(df: DataFrame) -> DataFrame:
     `clear_stage` deletes.
     """
     spark = df.sparkSession
-    path = _new_path(spark)
+    path = staged_path(spark)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
 def stage_alone(spark: SparkSession, build: Callable[[], DataFrame]) -> DataFrame:
     """`stage(build())`, after which nothing else is left of what `build` staged on its way."""
-    path = _new_path(spark)
+    path = staged_path(spark)
     with staging(spark):
         df = build()
         df.write.parquet(path)
@@ -97,7 +97,8 @@ def _delete(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
-def _new_path(spark: SparkSession) -> str:
+def staged_path(spark: SparkSession) -> str:
+    """A new path in the shared folder, which goes when what is staged goes."""
     path = f"{_stage_dir(spark)}/{uuid.uuid4().hex}"
     if (noted := _staged.get()) is not None:
         noted.append(path)

@@ -14,7 +14,12 @@ def read_response_log(spark: SparkSession, path: str) -> DataFrame:
     A line that is cut off or no JSON is kept in `_corrupt_record`, with NULL in all other columns; see
     `torn_lines`. Columns that the folder's partitions give are taken from there.
     """
-    lines = spark.read.text(path).where(r"value RLIKE '\\S'")
+    return parse_lines(spark.read.text(path))
+
+
+def parse_lines(lines: DataFrame) -> DataFrame:
+    """RESPONSE_LOG and `_corrupt_record` from lines (value, …); other columns of these names take part as they are."""
+    lines = lines.where(r"value RLIKE '\\S'")
     schema = f"{RESPONSE_LOG}, _corrupt_record STRING"
     parsed = F.from_json("value", schema, {"columnNameOfCorruptRecord": "_corrupt_record"})
     rows = lines.select("*", F.explode(F.array(parsed)).alias("_row"))
