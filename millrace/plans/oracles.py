@@ -213,6 +213,63 @@ ORACLES = {
             BETWEEN 11 AND 30
     """,
     "response_actions": f"SELECT event_id, status, action, wait_s FROM ({_ACTIONS})",
+    "retry_plan": f"""
+        WITH r AS (
+            SELECT user_id, a.*, action LIKE 'retry%' AS again,
+                   row_number() OVER (PARTITION BY user_id ORDER BY a.ts, event_id) AS i
+            FROM ({_ACTIONS}) a JOIN (SELECT event_id, user_id FROM events) USING (event_id)),
+        ends AS (SELECT user_id, coalesce(max(i) FILTER (NOT again), 0) AS ended, max(i) AS last FROM r GROUP BY user_id),
+        since AS (
+            SELECT user_id, count(*) AS attempts, min(ts) AS first_at FROM r JOIN ends USING (user_id)
+            WHERE i > ended GROUP BY user_id)
+        SELECT user_id,
+               CASE WHEN again THEN CASE WHEN attempts < 2 THEN 'waiting' ELSE 'given_up' END
+                    WHEN action = 'parse' THEN 'done' WHEN action = 'fail' THEN 'failed' ELSE action END AS state,
+               coalesce(attempts, 0) AS attempts, first_at, ts AS last_at,
+               CASE WHEN again AND attempts < 2 THEN ts + to_seconds(wait_s) END AS next_due
+        FROM r JOIN ends USING (user_id) LEFT JOIN since USING (user_id) WHERE i = last
+    """,
+    "retry_runs": f"""
+        WITH r AS (
+            SELECT user_id, a.*, coalesce(sum(CASE WHEN action LIKE 'retry%' THEN 0 ELSE 1 END) OVER (
+                       PARTITION BY user_id ORDER BY a.ts, event_id
+                       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS run
+            FROM ({_ACTIONS}) a JOIN (SELECT event_id, user_id FROM events) USING (event_id))
+        SELECT user_id, CAST(run AS BIGINT) AS run, count(*) AS attempts, min(ts) AS started, max(ts) AS ended,
+               CAST(coalesce(sum(wait_s), 0) AS BIGINT) AS waited_s,
+               max(action) FILTER (action NOT LIKE 'retry%') AS outcome
+        FROM r GROUP BY user_id, run
+    """,
+    "player_gaps": """
+        WITH RECURSIVE edges(dataset, parent) AS (VALUES
+            ('match_ids', 'league_entries'), ('match_raw', 'match_ids'), ('match_timeline_raw', 'match_raw'),
+            ('summoner_raw', 'league_entries'), ('account_raw', 'league_entries')),
+        below(dataset, descendant, depth) AS (
+            SELECT parent, dataset, 1 FROM edges
+            UNION ALL SELECT b.dataset, e.dataset, b.depth + 1 FROM below b JOIN edges e ON e.parent = b.descendant),
+        places AS (
+            SELECT dataset, (SELECT max(depth) FROM below WHERE descendant = e.dataset) AS depth,
+                   (SELECT count(DISTINCT descendant) FROM below WHERE dataset = e.dataset) AS n_below
+            FROM edges e),
+        listed AS (
+            SELECT CAST(o_custkey AS VARCHAR) AS root, o_orderkey AS k FROM orders
+            WHERE o_custkey % 10 <> 0 AND o_custkey IN (SELECT c_custkey FROM customer)),
+        missing AS (
+            SELECT CAST(c_custkey AS VARCHAR) AS root, 'match_ids' AS dataset FROM customer
+            WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_custkey % 10 <> 0)
+            UNION ALL SELECT CAST(c_custkey AS VARCHAR), 'summoner_raw' FROM customer WHERE c_custkey % 4 = 0
+            UNION ALL SELECT CAST(c_custkey AS VARCHAR), 'account_raw' FROM customer WHERE c_acctbal < 0
+            UNION ALL SELECT root, 'match_raw' FROM listed WHERE k % 3 = 0
+            UNION ALL SELECT root, 'match_timeline_raw' FROM listed WHERE k % 3 <> 0 AND k % 5 = 0),
+        counts AS (SELECT root, dataset, count(*) AS n FROM missing GROUP BY root, dataset)
+        SELECT root, first(dataset ORDER BY depth, dataset) AS first_stage, first(n ORDER BY depth, dataset) AS n_first,
+               CAST(sum(n) AS BIGINT) AS n_missing, CAST(sum(n * n_below) AS BIGINT) AS n_waiting
+        FROM counts JOIN places USING (dataset) GROUP BY root
+    """,
+    "request_batches": """
+        SELECT key, n, n // 100 * 5 + n % 100 // 20 AS batch, n // 100 * 120 + n % 100 // 20 AS earliest_s
+        FROM (SELECT o_orderkey AS key, row_number() OVER (ORDER BY o_orderkey) - 1 AS n FROM orders)
+    """,
     "response_source": """
         WITH asked AS (
             SELECT CAST(o_orderkey AS VARCHAR) AS key, o_orderkey AS k, CAST(o_orderdate AS TIMESTAMP) AS ts,

@@ -17,7 +17,7 @@ from millrace.functions.routing import (
     region_of,
 )
 from millrace.functions.urls import URL_FORMATS, fill
-from millrace.operators import landing, rates
+from millrace.operators import batching, landing, rates, retries
 from millrace.operators.audit import Batch, with_audit
 from millrace.operators.latest import latest_per_key
 from millrace.operators.merge import insert_only_merge
@@ -26,7 +26,7 @@ from millrace.operators.pending import distinct_keys, pending_keys
 from millrace.operators.responses import with_action
 from millrace.operators.runlog import batch_counters
 from millrace.operators.validate import known_text, missing_keys, unknown_keys
-from millrace.plans import datasets, samples
+from millrace.plans import completeness, datasets, samples
 from millrace.plans.health import LAYERS, declare_layers, listed_schemas, roundtrip
 from millrace.plans.ingest import Run, ingest, ingest_all
 from millrace.session import scratch_schema, shared_dir, stage, staged_path
@@ -370,6 +370,39 @@ def response_actions(spark: SparkSession, sf: str) -> DataFrame:
     return with_action(log).select("event_id", "status", "action", "wait_s")
 
 
+def _user_actions(spark: SparkSession, sf: str) -> DataFrame:
+    """Events as logged responses; each user stands for one request."""
+    events = read_table(spark, sf, "events")
+    log = with_action(samples.event_responses(events))
+    return log.join(events.select("event_id", "user_id"), "event_id")
+
+
+@query
+def retry_plan(spark: SparkSession, sf: str) -> DataFrame:
+    return retries.retry_plan(_user_actions(spark, sf), ["user_id"], "ts", "event_id", max_attempts=2)
+
+
+@query
+def retry_runs(spark: SparkSession, sf: str) -> DataFrame:
+    return retries.retry_runs(_user_actions(spark, sf), ["user_id"], "ts", "event_id")
+
+
+@query
+def player_gaps(spark: SparkSession, sf: str) -> DataFrame:
+    """The first stage that lacks a key of each player, over tables that each lack some."""
+    with scratch_schema(spark) as schema:
+        run = Run("kr", "challenger", bronze=schema)
+        samples.partly_landed(spark, sf, run)
+        return stage(completeness.player_gaps(spark, run))
+
+
+@query
+def request_batches(spark: SparkSession, sf: str) -> DataFrame:
+    """When to ask for each order, under both limits."""
+    orders = read_table(spark, sf, "orders").select(F.col("o_orderkey").alias("key"))
+    return batching.request_batches(orders, ["key"])
+
+
 @query
 def response_source(spark: SparkSession, sf: str) -> DataFrame:
     """One dataset, two fetch batches and one region of a log of JSON lines, by pushed filters."""

@@ -229,3 +229,24 @@ def profile_responses(spark: SparkSession, folder: str) -> DataFrame:
         {"status": F.lit(200), "ts": F.lit("2024-01-02").cast("timestamp")}
     )
     return _as_log(rows.unionByName(again), "summoner_raw")
+
+
+def partly_landed(spark: SparkSession, folder: str, run: Run) -> None:
+    """Tables of all six datasets: customers are players, orders matches; each table lacks some keys."""
+    customer, orders = read_table(spark, folder, "customer"), read_table(spark, folder, "orders")
+    player = {"puuid": F.col("c_custkey").cast("string")}
+    scope = {"_region": F.lit(run.region), "_tier": F.lit(run.tier)}
+    match = {"match_id": F.col("o_orderkey").cast("string")}
+    rows = {
+        datasets.LEAGUE_ENTRIES: (customer, {**player, **scope}),
+        datasets.MATCH_IDS: (orders.where("o_custkey % 10 <> 0"), {"puuid": F.col("o_custkey").cast("string"), **match}),
+        datasets.MATCH_RAW: (orders.where("o_orderkey % 3 <> 0"), match),
+        datasets.MATCH_TIMELINE: (orders.where("o_orderkey % 5 <> 0"), match),
+        datasets.SUMMONER: (customer.where("c_custkey % 4 <> 0"), player),
+        datasets.ACCOUNT: (customer.where("c_acctbal >= 0"), player),
+    }
+    for dataset, (found, given) in rows.items():
+        table = run.table(dataset.name)
+        ensure_table(spark, table, dataset.columns)
+        nulls = {name: F.lit(None).cast(kind) for name, kind in spark.table(table).dtypes}
+        append(found.select(*[c.alias(n) for n, c in {**nulls, **given}.items()]), table)
