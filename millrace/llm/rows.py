@@ -48,8 +48,8 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.Re
             yield batch.slice(at, rows)
 
 
-def runs(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
-    """Rows with the same value of `key`, which come together, as one table each."""
+def runs(batches: Iterator[pa.RecordBatch], *keys: str) -> Iterator[pa.Table]:
+    """Rows with the same values of `keys`, which come together, as one table each."""
     import numpy as np
 
     rest: pa.Table | None = None
@@ -59,8 +59,9 @@ def runs(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
         table = pa.Table.from_batches([batch])
         if rest is not None:
             table = pa.concat_tables([rest, table]).combine_chunks()
-        values = table.column(key).to_numpy()
-        cuts = [0, *(np.flatnonzero(values[1:] != values[:-1]) + 1).tolist()]
+        columns = [table.column(key).to_numpy() for key in keys]
+        changes = np.any([values[1:] != values[:-1] for values in columns], axis=0)
+        cuts = [0, *(np.flatnonzero(changes) + 1).tolist()]
         for begin, end in zip(cuts, cuts[1:]):
             yield table.slice(begin, end - begin)
         rest = table.slice(cuts[-1])
