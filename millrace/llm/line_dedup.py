@@ -3,27 +3,33 @@
 A line's key is the line without white space at its ends and with A-Z in lower case; keys are
 compared by their 64-bit hash. Steps:
 
-1. One scan turns each text into the hashes of its lines (narrow, staged).
+1. One scan turns each text into the hashes of its lines (narrow, equal rows once, staged).
 2. The documents of each hash are counted, with sums in the map tasks.
 3. The distinct hashes are dealt to shards by their value. Each shard becomes one minimal perfect
    hash with two arrays, fingerprints and counts, indexed by it. A shard has a bounded number of
    hashes, so a task's memory is bounded whatever the corpus.
-4. The documents' hashes visit their shard and probe its arrays; no line is joined to a line. A shard
-   that gets many visits, as one with a hot line does, is copied to as many tasks as they need.
-5. The line numbers to drop go back to their documents.
-
-NULL or empty text is one empty line, which has no key. Repeated rows count as documents of their
-own. A document that loses all lines keeps an empty text. Other columns stay as they are.
+4. Each document's distinct hashes visit their shard and probe its arrays; no line is joined to a line.
+   A shard that gets many visits, as one with a hot line does, is copied to as many tasks as they need.
+5. The hashes to drop go back to their documents, where they are turned into line numbers. So a line
+   that one document repeats ever so often is one visit.
+
+NULL or empty text is one empty line, which has no key. Each row counts as a document of its own, also
+where ids or whole rows repeat or ids are NULL. A document that loses all lines keeps an empty text.
+An empty table gives no rows. Other columns, of any name, stay as they are. Distinct lines with equal
+64-bit hashes count as one line. One text with its lines' hashes has to fit into a task's memory.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.rows import fold, fresh, row_key, with_key
+from millrace.llm.rows import fold, fresh, row_key, slices, with_key
 from millrace.session import stage
 
 WHITE = " \t\n\x0b\x0c\r"
@@ -95,9 +101,9 @@ def line_hashes(text: Column, min_chars: int = 1) -> Column:
 
 
 def count_lines(hashed: DataFrame, hashes: str = "hashes") -> DataFrame:
-    """(hash, n_docs): in how many rows each line hash is found."""
-    once = hashed.select(F.explode(F.array_distinct(hashes)).alias("hash")).where("hash IS NOT NULL")
-    return once.groupBy("hash").agg(F.count(F.lit(1)).alias("n_docs"))
+    """(hash, n_docs): in how many rows each line hash is found, if a row of `hashed` stands for `n`."""
+    once = hashed.select("n", F.explode(F.array_distinct(hashes)).alias("hash")).where("hash IS NOT NULL")
+    return once.groupBy("hash").agg(F.sum("n").alias("n_docs"))
 
 
 def build_index(counts: DataFrame, n_shards: int) -> DataFrame:
@@ -122,7 +128,7 @@ def _shard(n_shards: int) -> Column:
 
 
 def probe(visits: DataFrame, index: DataFrame) -> DataFrame:
-    """`visits` (shard, copy, hash, k1, k2, pos) with `n_docs` from the arrays of their shard's copy.
+    """`visits` (shard, copy, hash, k1, k2) with `n_docs` from the arrays of their shard's copy.
 
     0 for a hash that the index does not have.
     """
@@ -140,26 +146,45 @@ def probe(visits: DataFrame, index: DataFrame) -> DataFrame:
             slots = function.slots(keys)
             known = (slots >= 0) & (fingerprints[slots] == _fingerprints(keys))
             n_docs = np.where(known, counts[slots], 0).astype(np.int64)
-        return visits[["k1", "k2", "pos"]].assign(n_docs=n_docs)
+        return visits[["k1", "k2", "hash"]].assign(n_docs=n_docs)
 
     by = ["shard", "copy"]
     return (
         visits.groupBy(*by)
         .cogroup(index.groupBy(*by))
-        .applyInPandas(look, "k1 long, k2 long, pos int, n_docs long")
+        .applyInPandas(look, "k1 long, k2 long, hash long, n_docs long")
     )
 
 
+def line_numbers(hashed: DataFrame, hits: DataFrame) -> DataFrame:
+    """(k1, k2, dropped): the numbers of the lines in `hashed` (k1, k2, hashes) that `hits` (k1, k2, hash) name."""
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches):
+            numbers = []
+            for at in range(part.num_rows):
+                hashes, hit = part.column("hashes")[at].values, part.column("hit")[at].values
+                told = hashes.is_valid().to_numpy(zero_copy_only=False)
+                same = np.isin(hashes.fill_null(0).to_numpy(), hit.to_numpy())
+                numbers.append(np.flatnonzero(same & told).astype(np.int32))
+            dropped = pa.array(numbers, pa.list_(pa.int32()))
+            yield pa.record_batch([part.column("k1"), part.column("k2"), dropped], names=["k1", "k2", "dropped"])
+
+    hit = hits.groupBy("k1", "k2").agg(F.collect_set("hash").alias("hit"))
+    return hashed.join(hit, ["k1", "k2"]).mapInArrow(find, "k1 long, k2 long, dropped array<int>")
+
+
 def repeated_lines(
     docs: DataFrame, min_docs: int, min_chars: int = 1, text: str = "text", doc_id: str = "doc_id"
 ) -> DataFrame:
     """(k1, k2, dropped): the numbers of the lines to drop, for the rows that have any."""
-    hashed = stage(
-        docs.select(
-            *[c.alias(n) for c, n in zip(row_key(doc_id, text), ("k1", "k2"))],
-            line_hashes(F.col(text), min_chars).alias("hashes"),
-        )
+    hashed = docs.select(
+        *[c.alias(n) for c, n in zip(row_key(doc_id, text), ("k1", "k2"))],
+        line_hashes(F.col(text), min_chars).alias("hashes"),
     )
+    # Rows of one id and text have the same lines: they probe once, and count as often as they stand.
+    once = [F.any_value("hashes").alias("hashes"), F.count(F.lit(1)).alias("n")]
+    hashed = stage(hashed.groupBy("k1", "k2").agg(*once))
     counts = stage(count_lines(hashed))
     n_shards = max(1, -(-counts.count() // SHARD_KEYS))
     loads = counts.groupBy(_shard(n_shards).alias("shard")).agg(F.sum("n_docs").alias("_visits"))
@@ -167,14 +192,14 @@ def repeated_lines(
     index = build_index(counts, n_shards).join(copies, "shard")
     index = index.withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)))
     visits = (
-        hashed.select("k1", "k2", F.posexplode("hashes").alias("pos", "hash"))
+        hashed.select("k1", "k2", F.explode(F.array_distinct("hashes")).alias("hash"))
         .where("hash IS NOT NULL")
         .withColumn("shard", _shard(n_shards))
         .join(copies, "shard")
-        .withColumn("copy", F.pmod(F.xxhash64("k1", "k2", "pos"), F.col("copies")))
+        .withColumn("copy", F.pmod(F.xxhash64("k1", "k2"), F.col("copies")))
     )
     hits = probe(visits.drop("copies"), index.drop("copies")).where(F.col("n_docs") >= min_docs)
-    return hits.groupBy("k1", "k2").agg(F.collect_set("pos").alias("dropped"))
+    return line_numbers(hashed, hits)
 
 
 def drop_repeated_lines(

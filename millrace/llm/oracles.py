@@ -103,17 +103,18 @@ _MESSAGES = """
 
 _LINES = f"""
     WITH lines AS (
-        SELECT doc_id, unnest(l) AS line, generate_subscripts(l, 1) AS pos
-        FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents)),
+        SELECT row, doc_id, unnest(l) AS line, generate_subscripts(l, 1) AS pos
+        FROM (SELECT row_number() OVER () AS row, doc_id, string_split(coalesce(text, ''), chr(10)) AS l
+              FROM documents)),
     keyed AS (
         SELECT *, trim({_FOLD.format('line')}, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS key
         FROM lines),
     shared AS (
         SELECT key, true AS gone FROM keyed WHERE length(key) >= 1
-        GROUP BY key HAVING count(DISTINCT doc_id) >= 10)
+        GROUP BY key HAVING count(DISTINCT row) >= 10)
     SELECT doc_id, count(*) AS n_lines, count(gone) AS n_dropped,
            sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE gone IS NULL), '')) AS kept_sha256
-    FROM keyed LEFT JOIN shared USING (key) GROUP BY doc_id
+    FROM keyed LEFT JOIN shared USING (key) GROUP BY row, doc_id
 """
 
 # crc32 of the id's decimal digits, a bit at a time.

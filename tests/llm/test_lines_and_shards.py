@@ -50,6 +50,30 @@ def test_lines_on_edges(edges, empty):
     assert drop_repeated_lines(empty).count() == 0
 
 
+def test_a_line_repeated_within_a_document_visits_once(spark, monkeypatch):
+    seen = []
+
+    def watched(visits, index):
+        seen.append(visits.groupBy("shard", "copy").count().agg(F.sum("count"), F.max("count")).first())
+        return probe(visits, index)
+
+    monkeypatch.setattr(line_dedup, "probe", watched)
+    docs = [(0, "hot\n" * 10**6 + "own 0\n\nmine")] + [(i, f"hot\nown {i}\nHOT ") for i in range(1, 40)]
+    got = drop_repeated_lines(spark.createDataFrame(docs, "doc_id long, text string"), counters=("n", "lost")).collect()
+    assert {(r.doc_id, r.text, r.n, r.lost) for r in got} == {
+        (0, "own 0\n\nmine", 10**6 + 3, 10**6), *((i, f"own {i}", 3, 2) for i in range(1, 40))
+    }
+    assert seen[0][0] == 81 and seen[0][1] <= line_dedup.SHARD_VISITS
+
+
+def test_rows_are_documents_also_where_ids_repeat(spark):
+    docs = [(1, f"shared\nown {i}") for i in range(10)] + [(None, "void\nx")] * 10 + [(2, "few")] * 9
+    got = drop_repeated_lines(spark.createDataFrame(docs, "doc_id long, text string").repartition(3)).collect()
+    assert sorted((str(r.doc_id), r.text) for r in got) == sorted(
+        [("1", f"own {i}") for i in range(10)] + [("None", "")] * 10 + [("2", "few")] * 9
+    )
+
+
 def best_capacity(sizes, n):
     """The smallest capacity by trying all sums of neighbours."""
     sums = {sum(sizes[a:b]) for a in range(len(sizes)) for b in range(a + 1, len(sizes) + 1)}
