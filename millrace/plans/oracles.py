@@ -310,6 +310,47 @@ ORACLES = {
                CASE layer WHEN 'bronze' THEN (SELECT count(*) FROM orders) ELSE 1 END AS cnt
         FROM (VALUES ('bronze'), ('silver'), ('gold')) AS l(layer)
     """,
+    "schema_drift": r"""
+        WITH bodies AS (
+            SELECT CASE event_type
+                WHEN 'signup' THEN json_object('metadata', m)
+                WHEN 'view' THEN json_object('metadata', m,
+                    'info', json_object('created', event_id, 'value', CAST(value AS VARCHAR)))
+                WHEN 'purchase' THEN json_object('metadata', m, 'info', i,
+                    'lines', json_array(json_object('user_id', user_id, 'a.b', event_type),
+                                        json_object('user_id', user_id)))
+                ELSE json_object('metadata', m, 'info', i) END AS j
+            FROM (SELECT *, json_object('id', CAST(event_id AS VARCHAR)) AS m,
+                         json_object('created', event_id, 'value', value) AS i
+                  FROM events WHERE event_type <> 'error')),
+        tree AS (
+            SELECT regexp_replace(t.fullkey, '\[\d+\]', '[]', 'g') AS path,
+                   CASE WHEN t.type IN ('OBJECT', 'ARRAY', 'BOOLEAN', 'NULL') THEN lower(t.type)
+                        WHEN t.type = 'VARCHAR' THEN 'string'
+                        WHEN CAST(t.atom AS DOUBLE) = trunc(CAST(t.atom AS DOUBLE)) THEN 'integer'
+                        ELSE 'number' END AS kind
+            FROM bodies, json_tree(bodies.j) AS t),
+        counts AS (
+            SELECT path, kind, count(*) AS n FROM tree GROUP BY path, kind
+            UNION ALL SELECT '$', 'malformed', count(*) FROM events WHERE event_type = 'error' HAVING count(*) > 0),
+        declared(path, declared) AS (
+            VALUES ('$', 'object'), ('$.metadata', 'object'), ('$.metadata.id', 'string'),
+                   ('$.metadata.region', 'string'), ('$.info', 'object'), ('$.info.created', 'integer'),
+                   ('$.info.value', 'number')),
+        named AS (
+            SELECT *, regexp_replace(path, '(\[\]|\."[^"]*"|\.\w+)$', '') AS parent
+            FROM counts FULL JOIN declared USING (path)),
+        held AS (SELECT path AS parent, n AS holders FROM counts WHERE kind = 'object'),
+        present AS (SELECT path, sum(n) AS there FROM counts WHERE kind <> 'malformed' GROUP BY path)
+        SELECT path, CASE WHEN kind = 'malformed' THEN 'malformed' WHEN kind IS NULL THEN 'missing'
+                          WHEN declared IS NULL THEN 'new'
+                          WHEN kind IN ('null', declared) OR (kind = 'integer' AND declared = 'number') THEN 'declared'
+                          ELSE 'retyped' END AS status,
+               declared, kind, CAST(coalesce(n, 0) AS BIGINT) AS n_values,
+               CASE WHEN path <> '$' AND NOT ends_with(path, '[]')
+                    THEN CAST(coalesce(holders, 0) - coalesce(there, 0) AS BIGINT) END AS n_absent
+        FROM named LEFT JOIN held USING (parent) LEFT JOIN present USING (path)
+    """,
     "ingest_rerun": """
         WITH ids AS (
             SELECT o_custkey, o_orderkey FROM orders

@@ -8,6 +8,7 @@ from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.functions.json_text import value_at, value_or
 from millrace.functions.routing import (
@@ -17,7 +18,7 @@ from millrace.functions.routing import (
     region_of,
 )
 from millrace.functions.urls import URL_FORMATS, fill
-from millrace.operators import batching, landing, rates, retries
+from millrace.operators import batching, drift, landing, rates, retries
 from millrace.operators.audit import Batch, with_audit
 from millrace.operators.latest import latest_per_key
 from millrace.operators.merge import insert_only_merge
@@ -403,6 +404,16 @@ def request_batches(spark: SparkSession, sf: str) -> DataFrame:
     return batching.request_batches(orders, ["key"])
 
 
+@query
+def schema_drift(spark: SparkSession, sf: str) -> DataFrame:
+    """Paths and kinds of event bodies against a declared schema."""
+    declared = T.StructType.fromDDL(
+        "metadata struct<id: string, region: string>, info struct<created: bigint, value: double>"
+    )
+    bodies = samples.drifting_documents(read_table(spark, sf, "events"))
+    return drift.drift_report(drift.path_counts(bodies), declared)
+
+
 @query
 def response_source(spark: SparkSession, sf: str) -> DataFrame:
     """One dataset, two fetch batches and one region of a log of JSON lines, by pushed filters."""

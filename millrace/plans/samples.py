@@ -56,6 +56,23 @@ def event_documents(events: DataFrame) -> DataFrame:
     )
 
 
+def drifting_documents(events: DataFrame) -> DataFrame:
+    """(event_id, body): one object each; its members and their types differ by kind of event, errors are torn."""
+    kind = F.col("event_type")
+    metadata = F.struct(F.col("event_id").cast("string").alias("id")).alias("metadata")
+    info = F.struct(F.col("event_id").alias("created"), "value").alias("info")
+    texts = F.struct(F.col("event_id").alias("created"), F.col("value").cast("string").alias("value")).alias("info")
+    lines = F.array(F.struct("user_id", kind.alias("a.b")), F.struct("user_id", F.lit(None).cast("string").alias("a.b"))).alias("lines")
+    body = (
+        F.when(kind == "view", F.to_json(F.struct(metadata, texts)))
+        .when(kind == "signup", F.to_json(F.struct(metadata)))
+        .when(kind == "error", F.lit('{"metadata":'))
+        .when(kind == "purchase", F.to_json(F.struct(metadata, info, lines)))
+        .otherwise(F.to_json(F.struct(metadata, info)))
+    )
+    return events.select("event_id", body.alias("body"))
+
+
 def event_responses(events: DataFrame) -> DataFrame:
     """Events as a response log: the kind of event stands for the status."""
     kind = F.col("event_type")
