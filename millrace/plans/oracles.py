@@ -310,6 +310,18 @@ ORACLES = {
                CASE layer WHEN 'bronze' THEN (SELECT count(*) FROM orders) ELSE 1 END AS cnt
         FROM (VALUES ('bronze'), ('silver'), ('gold')) AS l(layer)
     """,
+    "run_overlaps": """
+        WITH runs AS (
+            SELECT event_id, event_type AS dataset, ts AS a,
+                   greatest(ts + to_seconds(CAST(floor(value) AS BIGINT)), ts + INTERVAL 1 MICROSECOND) AS b
+            FROM events)
+        SELECT r.event_id, r.dataset,
+               count(o.event_id) FILTER (WHERE (o.a, o.b, o.event_id) < (r.a, r.b, r.event_id)) AS n_running,
+               count(o.event_id) AS n_overlaps
+        FROM runs r LEFT JOIN runs o
+          ON o.dataset = r.dataset AND o.event_id <> r.event_id AND o.a < r.b AND o.b > r.a
+        GROUP BY r.event_id, r.dataset
+    """,
     "schema_drift": r"""
         WITH bodies AS (
             SELECT CASE event_type

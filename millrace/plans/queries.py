@@ -22,6 +22,7 @@ from millrace.operators import batching, drift, landing, rates, retries
 from millrace.operators.audit import Batch, with_audit
 from millrace.operators.latest import latest_per_key
 from millrace.operators.merge import insert_only_merge
+from millrace.operators.overlaps import overlapping_runs
 from millrace.operators.paging import before_first_empty, next_pages
 from millrace.operators.pending import distinct_keys, pending_keys
 from millrace.operators.responses import with_action
@@ -404,6 +405,17 @@ def request_batches(spark: SparkSession, sf: str) -> DataFrame:
     return batching.request_batches(orders, ["key"])
 
 
+@query
+def run_overlaps(spark: SparkSession, sf: str) -> DataFrame:
+    """Events as runs of a dataset, their kind, that last as many seconds as their value."""
+    lasts = F.make_dt_interval(secs=F.floor("value").cast("decimal(18,6)"))
+    events = read_table(spark, sf, "events").select(
+        "event_id", F.col("event_type").alias("dataset"), F.col("ts").alias("run_start"), (F.col("ts") + lasts).alias("run_end")
+    )
+    found = overlapping_runs(events, "dataset", "run_start", "run_end", "event_id")
+    return found.select("event_id", "dataset", "n_running", "n_overlaps")
+
+
 @query
 def schema_drift(spark: SparkSession, sf: str) -> DataFrame:
     """Paths and kinds of event bodies against a declared schema."""
