@@ -6,14 +6,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def batch_counters(actions: DataFrame, by: list[str], at: str, request: list[str]) -> DataFrame:
+def batch_counters(
+    actions: DataFrame, by: list[str], at: str, request: list[str], retried: bool = True
+) -> DataFrame:
     """Per batch: first and last response, successful requests, 429s, and what went wrong.
 
     `actions` is a log with the `action` column of `with_action`; `request` names the columns that tell
     requests apart. `_rejects`, if the log has it, is the number of rejects of a response, and
     `_malformed` whether all of it is one. Where a response has several rows, `_response` marks one of
     them, and the others count by their rejects only. `unanswered` counts requests that got nothing but
-    429s.
+    429s. With `retried` false the log is known to have no 429s; requests are not told apart then.
 
     SUCCESS: nothing failed for good, was rejected or stayed unanswered; FAILED: no request brought
     anything; PARTIAL: some did. Both shuffles are pre-aggregated.
@@ -23,7 +25,7 @@ def batch_counters(actions: DataFrame, by: list[str], at: str, request: list[str
     parsed = action == "parse"
     rejects = F.col("_rejects") if "_rejects" in actions.columns else F.lit(0)
     malformed = F.col("_malformed") if "_malformed" in actions.columns else F.lit(False)
-    per_request = actions.groupBy(*by, *request).agg(
+    per_request = actions.groupBy(*by, *(request if retried else [])).agg(
         F.min(at).alias("run_start"),
         F.max(at).alias("run_end"),
         F.count_if(parsed & response).alias("requests_made"),
@@ -38,7 +40,7 @@ def batch_counters(actions: DataFrame, by: list[str], at: str, request: list[str
         F.min("run_start").alias("run_start"),
         F.max("run_end").alias("run_end"),
         *sums,
-        F.count_if(F.col("_final") == 0).alias("unanswered"),
+        F.count_if((F.col("_final") == 0) & F.lit(retried)).alias("unanswered"),
     )
     failed = F.col("failures") + F.col("rejected") + F.col("unanswered")
     return counters.withColumn("status", outcome(F.col("_good"), failed)).drop("_good")

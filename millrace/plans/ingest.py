@@ -9,7 +9,10 @@ that it names, so that a log partitioned by dataset and batch is read in part on
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import Future, ThreadPoolExecutor
 from dataclasses import dataclass, field
+from threading import Lock
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -141,22 +144,30 @@ def own_responses(log: DataFrame, dataset: Dataset, run: Run) -> DataFrame:
     return log.where(own)
 
 
-def ingest(spark: SparkSession, dataset: Dataset, log: DataFrame, run: Run) -> dict[str, int]:
+def ingest(
+    spark: SparkSession, dataset: Dataset, log: DataFrame, run: Run, listed: Callable[[], object] | None = None
+) -> dict[str, int]:
     """Land the run's responses for the dataset and merge the new rows into its table; append to the log.
 
     Returns requests_made, count_429, new_rows, rejected (malformed bodies and elements), failures
     (responses that say no for good), unanswered (requests that got nothing but 429s) and key_mismatch
     (documents that name another key than was asked for, which stays pending).
+    `listed`, if given, returns once the table that lists the keys is as it is to be read. The bodies are
+    looked at and counted before.
     """
     started = utc_now()
     responses = with_action(own_responses(log, dataset, run))
     ensure_table(spark, run.table(dataset.name), dataset.columns)
-    land = _land_arrays if dataset.explode else _land_documents
+    view, land = (_elements, _land_arrays) if dataset.explode else (_facts, _land_documents)
     request = ["page" if dataset.keys_from is None else "key", "_fetch"]
     with staging(spark):
-        actions, counters = land(spark, dataset, responses, run)
-        counted = batch_counters(actions, [], "ts", request).first().asDict()
-    counters = {**{c: counted[c] for c in COUNTERS}, **counters}
+        staged, actions = view(dataset, responses)
+        retried = not staged.where("status = 429").isEmpty()
+        counted = batch_counters(actions, [], "ts", request, retried).first().asDict()
+        if listed is not None:
+            listed()
+        landed = land(spark, dataset, responses, staged, run)
+    counters = {**{c: counted[c] for c in COUNTERS}, **landed}
     _append_run_log(spark, dataset.name, run, started, counters, counted["status"])
     return counters
 
@@ -168,65 +179,118 @@ def _fetch() -> Column:
     return F.coalesce("batch_id", F.lit("")).alias("_fetch")
 
 
-def _land_documents(spark, dataset: Dataset, responses: DataFrame, run: Run) -> tuple[DataFrame, dict]:
+def _facts(dataset: Dataset, responses: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Narrow facts of documents, staged in one pass over the bodies, and the same as rows to be counted."""
+    parsed = dataset.parse(_identified(responses))
+    facts = stage(
+        parsed.select(
+            "key", "ts", "status", "action", "_malformed", dataset.key, "_id", *_fields(dataset, responses),
+            (F.col(dataset.key) != F.col("key")).alias("_stray"), _fetch(),
+        )
+    )
+    return facts, facts.withColumn("_rejects", F.col("_malformed").cast("int"))
+
+
+def _identified(responses: DataFrame) -> DataFrame:
+    return responses.withColumn("_id", F.xxhash64("key", "ts", "batch_id", "body"))
+
+
+def _fields(dataset: Dataset, responses: DataFrame) -> list[str]:
+    """What else the parse finds in a document."""
+    known = {*responses.columns, dataset.key, "_malformed"}
+    return [c for c in dataset.parse(responses).columns if c not in known]
+
+
+def _land_documents(spark, dataset: Dataset, responses: DataFrame, facts: DataFrame, run: Run) -> dict:
     """One row per requested key: the first good response by time, fetch batch and content.
 
-    One pass over the bodies stages narrow facts, on which it is settled which responses to land:
-    asked for, first of their key, and of a key that the table lacks. The second pass takes exactly
-    those, by a positive join, so that a log that grows meanwhile adds nothing.
+    On the staged facts it is settled which responses to land: asked for, first of their key, and of a
+    key that the table lacks. A second pass over the bodies takes exactly those, by a positive join, so
+    that a log that grows meanwhile adds nothing; what the first pass found in them is not parsed again.
     """
-    own = dataset.key
-    responses = responses.withColumn("_id", F.xxhash64("key", "ts", "batch_id", "body"))
-    columns = ["key", "ts", "status", "action", "_malformed", own, "_id"]
-    facts = stage(dataset.parse(responses).select(*columns, _fetch()))
+    own, fields = dataset.key, _fields(dataset, responses)
     good = facts.where("action = 'parse' AND NOT _malformed")
     keys = _keys(spark, dataset, run).withColumnRenamed(own, "key")
-    place = F.struct("ts", "_fetch", "_id", "n", own, "key").alias("first")
-    copies = good.join(keys, "key", "left_semi").groupBy("ts", "_fetch", "_id", own, "key").agg(
-        F.count(F.lit(1)).alias("n")
+    if not scan(spark, run.table(dataset.name)).isEmpty():  # else all that is listed is asked for
+        keys = stage(keys)  # mostly few, or none: facts are then not shuffled
+    place = F.struct("ts", "_fetch", "_id", own, "key", *fields)
+    # The join leaves the rows by key and in its order, as the aggregate needs them.
+    first = good.join(keys, "key", "left_semi").groupBy("key").agg(
+        F.min(place).alias("_first"), F.count(F.lit(1)).alias("n")
     )
-    per_key = copies.groupBy("key").agg(F.min(place).alias("first")).select("first.*")
-    per_own = per_key.groupBy(own).agg(F.min(place).alias("first")).select("first.*")
-    known = distinct_keys(scan(spark, run.table(dataset.name)), own)
-    chosen = stage(per_own.join(known, own, "left_anti").select("key", "_id", "n"))
-    mismatched = good.where(F.col(own) != F.col("key")).count()
+    chosen = stage(first.select("_first.*", "n"))
+    mismatched = good.where("_stray").count()
+    if mismatched:
+        chosen = _first_of_each(chosen, own, _known(spark, dataset, run))
+    if not dataset.once:  # else the keys are such that the table lacks
+        chosen = chosen.join(_known(spark, dataset, run), own, "left_anti")
     counters = {"new_rows": 0, "key_mismatch": mismatched}
     if not chosen.isEmpty():
-        answers = responses.where("action = 'parse'")
-        once = answers.join(chosen.where("n = 1").drop("n"), ["key", "_id"], "left_semi")
-        again = answers.join(chosen.where("n > 1").drop("n"), ["key", "_id"], "left_semi")
-        rows = dataset.parse(once.unionByName(again.dropDuplicates(["key", "_id"])))
-        rows = _with_audit(dataset, rows.withColumnsRenamed({"body": "raw_json"}), run)
-        counters["new_rows"] = insert_counted(rows, run.table(dataset.name))
-    return facts.withColumn("_rejects", F.col("_malformed").cast("int")), counters
+        answers = _identified(responses).where("action = 'parse'").select("key", "_id", F.col("body").alias("raw_json"))
+        chosen = chosen.select("key", "_id", "n", own, *fields)
+        rows = answers.join(chosen.where("n = 1"), ["key", "_id"])
+        several = chosen.where("n > 1")
+        if not several.isEmpty():  # of a key with several answers, the chosen one may have copies
+            rows = rows.unionByName(answers.join(several, ["key", "_id"]).dropDuplicates(["key", "_id"]))
+        counters["new_rows"] = insert_counted(_with_audit(dataset, rows, run), run.table(dataset.name))
+    return counters
 
 
-def _land_arrays(spark, dataset: Dataset, responses: DataFrame, run: Run) -> tuple[DataFrame, dict]:
-    """Elements as rows. One pass over the bodies stages them all; what is left works on those."""
+def _known(spark: SparkSession, dataset: Dataset, run: Run) -> DataFrame:
+    return distinct_keys(scan(spark, run.table(dataset.name)), dataset.key)
+
+
+def _first_of_each(chosen: DataFrame, own: str, known: DataFrame) -> DataFrame:
+    """One document per key that it names, where some name another key than was asked for.
+
+    Only the keys named by those are looked at: the first of several documents lands, if the key is not
+    `known`. All others were asked for by the key that they name.
+    """
+    named = stage(chosen.where(F.col(own) != F.col("key")).select(own).distinct())
+    place = F.struct(*[c for c in chosen.columns if c != "n"], "n")
+    first = chosen.join(named, own, "left_semi").groupBy(own).agg(F.min(place).alias("_first")).select("_first.*")
+    lacking = first.join(known.join(named, own, "left_semi"), own, "left_anti")
+    rest = chosen.join(named, own, "left_anti")
+    return stage(rest.unionByName(lacking))
+
+
+def _elements(dataset: Dataset, responses: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """All elements as rows, staged in one pass over the bodies, and what of them is to be counted."""
     columns = ["key", "page", "ts", "status", "action", "_malformed", "_empty", "body"]
     flat = stage(dataset.explode(dataset.parse(responses).select(*columns, _fetch())))
+    bad = F.col("_malformed") | (F.col("_is_element") & F.col("_bad_element"))
+    first = ~F.col("_is_element") | (F.col("_pos") == 0)
+    return flat, flat.select(
+        "key", "page", "ts", "status", "action", "_malformed", "_fetch",
+        bad.cast("int").alias("_rejects"), first.alias("_response"),
+    )
+
+
+def _land_arrays(spark, dataset: Dataset, responses: DataFrame, flat: DataFrame, run: Run) -> dict:
+    """Elements as rows, which `_elements` has staged."""
     parsed = flat.where("action = 'parse' AND NOT _malformed")
     rows = parsed.where("_is_element AND NOT _bad_element")
     if dataset.keys_from is None:
         rows = before_first_empty(rows, ["_fetch"], "page", parsed.where("_empty").select("_fetch", "page"))
         rows = _of_first_listing(rows, flat).withColumnRenamed("page", "_page")
+        new_rows = merge_into(
+            _with_audit(dataset, rows, run),
+            run.table(dataset.name),
+            list(dataset.merge_on),
+            reject_null_keys=run.reject_null_keys,
+        )
     else:
-        keys = _keys(spark, dataset, run).withColumnRenamed(dataset.key, "key")
-        rows = rows.join(keys, "key", "left_semi").withColumnRenamed("key", dataset.key)
-        rows = rows.dropDuplicates([c for c in dataset.merge_on if c in rows.columns])
-    new_rows = merge_into(
-        _with_audit(dataset, rows, run),
-        run.table(dataset.name),
-        list(dataset.merge_on),
-        reject_null_keys=run.reject_null_keys,
-    )
-    bad = F.col("_malformed") | (F.col("_is_element") & F.col("_bad_element"))
-    first = ~F.col("_is_element") | (F.col("_pos") == 0)
-    actions = flat.select(
-        "key", "page", "ts", "status", "action", "_malformed", "_fetch",
-        bad.cast("int").alias("_rejects"), first.alias("_response"),
-    )
-    return actions, {"new_rows": new_rows, "key_mismatch": 0}
+        keys, on = _keys(spark, dataset, run), list(dataset.merge_on)
+        rows = rows.withColumnRenamed("key", dataset.key)
+        new_rows = merge_into(
+            _with_audit(dataset, rows, run),
+            run.table(dataset.name),
+            on,
+            reject_null_keys=run.reject_null_keys,
+            # of the new rows only: a run that repeats another has few of them, or none
+            then=lambda new: new.join(keys, dataset.key, "left_semi").dropDuplicates(on),
+        )
+    return {"new_rows": new_rows, "key_mismatch": 0}
 
 
 def _of_first_listing(rows: DataFrame, flat: DataFrame) -> DataFrame:
@@ -254,6 +318,10 @@ def _with_audit(dataset: Dataset, rows: DataFrame, run: Run) -> DataFrame:
     return with_audit(rows, run.batch, **extra)
 
 
+# One writer at a time: the run log is a Parquet table, and datasets of one run end at the same time.
+_run_log = Lock()
+
+
 def _append_run_log(spark, dataset: str, run: Run, started, counters: dict[str, int], status: str) -> None:
     row = {
         "batch_id": run.batch.batch_id,
@@ -264,19 +332,26 @@ def _append_run_log(spark, dataset: str, run: Run, started, counters: dict[str,
         **{c: counters[c] for c in ("requests_made", "count_429", "new_rows", "rejected")},
     }
     table = run.table("ingestion_log")
-    ensure_table(spark, table, schemas.INGESTION_LOG)
     values = ", ".join(f":{name}" for name in row)
-    spark.sql(f"INSERT INTO {table} ({', '.join(row)}) VALUES ({values})", args=row)
+    with _run_log:
+        ensure_table(spark, table, schemas.INGESTION_LOG)
+        spark.sql(f"INSERT INTO {table} ({', '.join(row)}) VALUES ({values})", args=row)
 
 
 def ingest_all(spark: SparkSession, log: DataFrame, run: Run) -> dict[str, dict[str, int]]:
-    """All six datasets of one response log, in the order of their keys.
+    """All six datasets of one response log, side by side.
 
-    Lines of the log that could not be read belong to no dataset; they get a row of their own in the
-    run log, under the name `response_log`.
+    Each looks at its responses at once, but waits for the dataset that lists its keys before it lands any;
+    if that one fails, so does it. Lines of the log that could not be read belong to no dataset; they get
+    a row of their own in the run log, under the name `response_log`.
     """
     started, torn = utc_now(), torn_lines(log).count()
     if torn:
         counters = {"requests_made": 0, "count_429": 0, "new_rows": 0, "rejected": torn}
         _append_run_log(spark, "response_log", run, started, counters, "FAILED")
-    return {d.name: ingest(spark, d, log, run) for d in datasets.DATASETS}
+    landed: dict[str, Future] = {}
+    with ThreadPoolExecutor(len(datasets.DATASETS)) as threads:
+        for d in datasets.DATASETS:
+            listed = landed[d.keys_from].result if d.keys_from else None
+            landed[d.name] = threads.submit(ingest, spark, d, log, run, listed)
+    return {name: counters.result() for name, counters in landed.items()}

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -54,12 +56,13 @@ def merge_into(
     reject_null_keys: bool = False,
     batch_keys: DataFrame | None = None,
     rebalance_by: list[str] | None = None,
+    then: Callable[[DataFrame], DataFrame] | None = None,
 ) -> int:
     """Insert the source rows whose key the table lacks; return how many were written.
 
     Rows are written by the tasks that read them, without a shuffle. `rebalance_by` shuffles them
     first, so that a bucket or partition is not spread over a file of every task; AQE sets the file
-    sizes and splits hot values.
+    sizes and splits hot values. `then` is what else is to be done to the rows that are new.
 
     The count is taken from the write itself. Parquet tables have no transactions: let one writer
     at a time merge into a table. A run that died may be repeated, as landed keys are skipped.
@@ -67,6 +70,8 @@ def merge_into(
     target = scan(source.sparkSession, table)
     with staging(source.sparkSession):
         inserts = insert_only_merge(source, target, on, dedupe_by, reject_null_keys, batch_keys).inserts
+        if then is not None:
+            inserts = then(inserts)
         if rebalance_by:
             inserts = inserts.hint("rebalance", *rebalance_by)
         return insert_counted(inserts, table)

@@ -311,3 +311,79 @@ def test_wide_bodies_are_not_shuffled(spark, run, monkeypatch, executed):
     ingest_all(spark, everything(spark), run)
     assert len(plans) == 4
     assert all("Exchange hashpartitioning" not in p.split("== Initial Plan ==")[0] for p in plans)
+
+
+def test_datasets_are_looked_at_side_by_side(spark, run, monkeypatch):
+    """All six count their responses before any of them waits for its keys."""
+    from threading import Barrier
+
+    from millrace.plans import ingest as module
+
+    met, real = Barrier(len(datasets.DATASETS), timeout=120), module.batch_counters
+
+    def counted(*args):
+        met.wait()
+        return real(*args)
+
+    monkeypatch.setattr(module, "batch_counters", counted)
+    out = ingest_all(spark, everything(spark), run)
+    assert list(out) == [d.name for d in datasets.DATASETS]
+    assert [c["new_rows"] for c in out.values()] == [2, 2, 2, 1, 1, 2]
+    assert table(spark, run, "ingestion_log").count() == 6
+
+
+def test_a_dataset_whose_keys_failed_lands_nothing(spark, run, monkeypatch):
+    from millrace.plans import ingest as module
+
+    def fail(*args, **kwargs):
+        raise RuntimeError("no listing")
+
+    monkeypatch.setattr(module, "merge_into", fail)  # of the listing only
+    with pytest.raises(RuntimeError, match="no listing"):
+        ingest_all(spark, everything(spark), run)
+    assert {table(spark, run, d.name).count() for d in datasets.DATASETS} == {0}
+
+
+def test_documents_that_name_one_key(spark, run):
+    """The first one lands, be it by the key asked for or not, unless the table has the key."""
+    listed(spark, run, *"abcdef")
+    ingest(spark, datasets.ACCOUNT, log_of(spark, response("account_raw", {"puuid": "f"}, key="f")), run)
+    answers = [("a", "z", 1), ("b", "z", 2), ("c", "c", 2), ("d", "c", 1), ("e", "f", 1)]
+    log = log_of(
+        spark,
+        *[at(response("account_raw", {"puuid": p, "from": k}, key=k), datetime(2024, 1, t)) for k, p, t in answers],
+    )
+    out = ingest(spark, datasets.ACCOUNT, log, run)
+    assert (out["new_rows"], out["key_mismatch"]) == (2, 4)
+    got = [(r.puuid, json.loads(r.raw_json).get("from")) for r in table(spark, run, "account_raw").collect()]
+    assert sorted(got, key=repr) == [("c", "d"), ("f", None), ("z", "a")]
+
+
+def test_documents_are_parsed_once(spark, run, monkeypatch, executed):
+    """What lands was parsed by the pass that looked at the bodies."""
+    from millrace.plans import ingest as module
+
+    listed(spark, run, "p")
+    ingest(spark, datasets.MATCH_IDS, log_of(spark, response("match_ids", ["m1"], key="p")), run)
+    plans, real = [], module.insert_counted
+
+    def spy(rows_, name):
+        plans.append(executed(rows_))
+        return real(rows_, name)
+
+    monkeypatch.setattr(module, "insert_counted", spy)
+    body = {"metadata": {"matchId": "m1"}, "info": {"platformId": "KR", "gameCreation": 5}}
+    ingest(spark, datasets.MATCH_RAW, log_of(spark, response("match_raw", body, key="m1")), run)
+    assert len(plans) == 1 and "from_json" not in plans[0]
+    assert rows(table(spark, run, "match_raw").select("platform_id", "game_creation")) == [("KR", 5)]
+
+
+def test_counters_without_429s(spark):
+    from millrace.operators.responses import with_action
+    from millrace.operators.runlog import batch_counters
+
+    log = with_action(everything(spark)).withColumn("batch_id", F.col("dataset"))
+    for calm in (log.where("status <> 429"), log.where("false")):
+        for by in ([], ["batch_id"]):
+            both = [rows(batch_counters(calm, by, "ts", ["key"], told)) for told in (True, False)]
+            assert both[0] == both[1]
