@@ -14,6 +14,7 @@ from concurrent.futures import Future, ThreadPoolExecutor
 from dataclasses import dataclass, field
 from threading import Lock
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -353,5 +354,6 @@ def ingest_all(spark: SparkSession, log: DataFrame, run: Run) -> dict[str, dict[
     with ThreadPoolExecutor(len(datasets.DATASETS)) as threads:
         for d in datasets.DATASETS:
             listed = landed[d.keys_from].result if d.keys_from else None
-            landed[d.name] = threads.submit(ingest, spark, d, log, run, listed)
+            job = inheritable_thread_target(spark)(ingest)  # in the caller's job group and pool
+            landed[d.name] = threads.submit(job, spark, d, log, run, listed)
     return {name: counters.result() for name, counters in landed.items()}
